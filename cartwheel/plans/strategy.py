@@ -21,31 +21,79 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS)
     return df
 
 
+# Rows one task may scan for one key before the key is split into chunks.
+ROWS_PER_CHUNK = 1_000_000
+
+
+def rows_per_chunk(spark) -> int:
+    return int(spark.conf.get("cartwheel.skew.rowsPerChunk", str(ROWS_PER_CHUNK)))
+
+
 def running_total(df: DataFrame, key: list[str], order: list[str], value: str, out: str,
-                  inclusive: bool = True, chunks: int | None = None, agg: str = "sum") -> DataFrame:
+                  inclusive: bool = True, agg: str = "sum", chunk_rows: int | None = None) -> DataFrame:
     """Per-key running ``agg`` (sum or max) of ``value`` in ``order``, safe for hot keys.
 
-    Two-level prefix scan: rows are range-partitioned on (key, order) so a
-    key holding a third of all rows is split over many tasks; each task
-    scans its own slice (window over (chunk, key)), slice totals are
-    prefix-combined per key (one row per slice, small), and the offset is
-    joined back.  ``inclusive=False`` covers strictly earlier rows only.
-    No task ever holds more than one range partition.
+    A plain ``Window.partitionBy(key)`` puts every row of a key in one task;
+    if one key holds a third of the data that task holds a third of the
+    data.  Here:
+
+    1. a partial aggregate counts rows per key and keeps the *hot* keys
+       (more than ``chunk_rows`` rows) with the min/max of the first order
+       column; at most N / chunk_rows rows, so broadcasting them is safe;
+    2. a hot key's rows are cut into ceil(n / chunk_rows) chunks by ranges
+       of the first order column (monotone in the order, deterministic);
+       other keys are a single chunk;
+    3. the window runs per (key, chunk), i.e. on at most ~chunk_rows rows;
+    4. per-chunk totals of hot keys (a few rows per hot key) are
+       prefix-combined and broadcast back as offsets.
+
+    ``inclusive=False`` covers strictly earlier rows only.  The first order
+    column must be numeric or a timestamp.
     """
     spark = df.sparkSession
-    n = chunks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    limit = chunk_rows or rows_per_chunk(spark)
     fn = {"sum": F.sum, "max": F.max}[agg]
-    combine = (lambda a, b: a + b) if agg == "sum" else (lambda a, b: F.greatest(a, b))
+    first = F.col(order[0])
+    if dict(df.dtypes)[order[0]].startswith("timestamp"):
+        first = F.unix_micros(first.cast("timestamp"))
+    first = first.cast("double")
+    hot = (df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"), F.min(first).alias("_lo"),
+                               F.max(first).alias("_hi"))
+           .filter(F.col("_n") > limit)
+           .select(*key, F.ceil(F.col("_n") / limit).alias("_m"), "_lo", "_hi"))
+    chunk = F.when(F.col("_m").isNull(), F.lit(0)).otherwise(F.least(
+        F.col("_m") - 1, F.floor((first - F.col("_lo")) * F.col("_m") / (F.col("_hi") - F.col("_lo") + 1))
+    )).cast("long")
+    c = df.join(F.broadcast(hot), key, "left").withColumn("_chunk", chunk).withColumn("_hot", F.col("_m").isNotNull())
+    c = c.drop("_m", "_lo", "_hi")
     end = 0 if inclusive else -1
-    ranged = (df.repartitionByRange(n, *[F.col(c) for c in key + order])
-              .withColumn("_chunk", F.spark_partition_id()))
-    local_w = Window.partitionBy("_chunk", *key).orderBy(*order).rowsBetween(Window.unboundedPreceding, end)
-    local = ranged.withColumn("_local", fn(value).over(local_w))
-    slices = (ranged.groupBy(*key, "_chunk")
-              .agg(fn(value).alias("_slice"), F.min(F.struct(*order)).alias("_first")))
-    slice_w = Window.partitionBy(*key).orderBy("_first").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = slices.select(*key, "_chunk", fn("_slice").over(slice_w).alias("_offset"))
-    joined = local.join(offsets, key + ["_chunk"], "inner")
-    total = F.when(F.col("_offset").isNull(), F.col("_local")).when(
-        F.col("_local").isNull(), F.col("_offset")).otherwise(combine(F.col("_offset"), F.col("_local")))
-    return joined.withColumn(out, total).drop("_chunk", "_local", "_offset")
+    w = Window.partitionBy(*key, "_chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, end)
+    local = c.withColumn("_local", fn(value).over(w))
+    slices = c.filter(F.col("_hot")).groupBy(*key, "_chunk").agg(fn(value).alias("_slice"))
+    prev = Window.partitionBy(*key).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = slices.select(*key, "_chunk", fn("_slice").over(prev).alias("_offset"))
+    joined = local.join(F.broadcast(offsets), key + ["_chunk"], "left")
+    if agg == "sum":
+        total = F.when(F.col("_offset").isNull(), F.col("_local")).when(
+            F.col("_local").isNull(), F.col("_offset")).otherwise(F.col("_offset") + F.col("_local"))
+    else:
+        total = F.when(F.col("_offset").isNull(), F.col("_local")).when(
+            F.col("_local").isNull(), F.col("_offset")).otherwise(F.greatest("_offset", "_local"))
+    return joined.withColumn(out, total).drop("_chunk", "_hot", "_local", "_offset")
+
+
+def top_k_per_group(df: DataFrame, group: list[str], order: list, k: int, salt_buckets: int = 16,
+                    salt_col: str | None = None, rank_col: str = "rn") -> DataFrame:
+    """First ``k`` rows per group in ``order`` with a ``rank_col`` 1..k.
+
+    Two stages so a hot group is never ranked in one task: rows are ranked
+    within (group, salt) where salt spreads a group over ``salt_buckets``
+    tasks, only each salt's first k survive, then the survivors (at most
+    salt_buckets * k per group) are ranked per group.
+    """
+    salt_src = F.col(salt_col) if salt_col else F.xxhash64(*[F.col(c) for c in df.columns])
+    salted = df.withColumn("_salt", F.pmod(salt_src, F.lit(salt_buckets)))
+    w1 = Window.partitionBy(*group, "_salt").orderBy(*order)
+    pre = salted.withColumn("_r1", F.row_number().over(w1)).filter(F.col("_r1") <= k).drop("_r1", "_salt")
+    w2 = Window.partitionBy(*group).orderBy(*order)
+    return pre.withColumn(rank_col, F.row_number().over(w2)).filter(F.col(rank_col) <= k)

@@ -59,8 +59,9 @@ def compare(spark, con, name, builder, sql, sf_dir):
         if scols != dcols2:
             detail = f"cols spark={scols} duck={dcols2}"
         else:
-            miss = [r for r in d if r not in set(s)][:3]
-            extra = [r for r in s if r not in set(d)][:3]
+            ss, ds = set(s), set(d)
+            miss = [r for r in d if r not in ss][:3]
+            extra = [r for r in s if r not in ds][:3]
             detail = f"rows spark={len(s)} duck={len(d)} only_duck={miss} only_spark={extra}"
     return ok, len(srows), t1 - t0, detail
 
