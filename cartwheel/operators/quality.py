@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..schemas import ORDER_STATUSES, VARCHAR_LIMITS, not_null_columns
+from ..schemas import VARCHAR_LIMITS, not_null_columns
 
 # Declared keys, foreign keys and CHECK constraints of the schema.
 PRIMARY_KEYS = {
@@ -42,26 +42,26 @@ FOREIGN_KEYS = [
 ]
 
 
+# CHECK constraints of the schema as SQL text (as declared);
+# a row violates one when the condition is FALSE (NULL passes).
+CHECKS = {
+    "users": [("users_email_format_chk", "POSITION('@' IN email) > 1")],
+    "products": [("products_price_chk", "price > 0"),
+                 ("products_stock_nonnegative_chk", "stock_qty >= 0"),
+                 ("products_reorder_nonnegative_chk", "reorder_level >= 0")],
+    "cart_items": [("cart_items_quantity_chk", "quantity > 0")],
+    "orders": [("orders_status_chk", "order_status IN ('PLACED', 'CANCELLED', 'COMPLETED')"),
+               ("orders_total_nonnegative_chk", "total_amount >= 0"),
+               ("orders_cancelled_time_chk",
+                "(order_status = 'CANCELLED' AND cancelled_at IS NOT NULL) OR order_status <> 'CANCELLED'"),
+               ("orders_completed_time_chk",
+                "(order_status = 'COMPLETED' AND completed_at IS NOT NULL) OR order_status <> 'COMPLETED'")],
+    "order_items": [("order_items_quantity_chk", "quantity > 0"), ("order_items_price_chk", "unit_price > 0")],
+}
+
+
 def _checks(table: str) -> list[tuple[str, Column]]:
-    """CHECK constraints as (name, condition); violated when the condition is FALSE."""
-    c = F.col
-    if table == "users":
-        return [("users_email_format_chk", F.locate("@", c("email")) > 1)]
-    if table == "products":
-        return [("products_price_chk", c("price") > 0), ("products_stock_nonnegative_chk", c("stock_qty") >= 0),
-                ("products_reorder_nonnegative_chk", c("reorder_level") >= 0)]
-    if table == "cart_items":
-        return [("cart_items_quantity_chk", c("quantity") > 0)]
-    if table == "orders":
-        return [("orders_status_chk", c("order_status").isin(*ORDER_STATUSES)),
-                ("orders_total_nonnegative_chk", c("total_amount") >= 0),
-                ("orders_cancelled_time_chk", ((c("order_status") == "CANCELLED") & c("cancelled_at").isNotNull())
-                 | (c("order_status") != "CANCELLED")),
-                ("orders_completed_time_chk", ((c("order_status") == "COMPLETED") & c("completed_at").isNotNull())
-                 | (c("order_status") != "COMPLETED"))]
-    if table == "order_items":
-        return [("order_items_quantity_chk", c("quantity") > 0), ("order_items_price_chk", c("unit_price") > 0)]
-    return []
+    return [(name, F.expr(cond)) for name, cond in CHECKS.get(table, [])]
 
 
 def _key_text(cols: list[str]) -> Column:
@@ -153,3 +153,52 @@ def check_constraints(tables: dict[str, DataFrame]) -> DataFrame:
     if "orders" in tables and "order_items" in tables:
         parts.append(order_total_mismatches(tables["orders"], tables["order_items"]))
     return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+def constraint_sql(tables: dict[str, str]) -> str:
+    """The same H1-H5 and H7 rule set as one SQL query (tables: name -> relation).
+
+    Used as the independent oracle of ``check_constraints`` on another engine.
+    """
+    parts = []
+    for name, rel in tables.items():
+        if name not in PRIMARY_KEYS:
+            continue
+        cols = _sql_cols(name)
+        key = _sql_key(PRIMARY_KEYS[name])
+        for col in not_null_columns(name):
+            if col in cols:
+                parts.append(f"SELECT '{name}' AS table_name, 'NOT_NULL' AS rule, {key} AS key, '{col}' AS detail "
+                             f"FROM {rel} WHERE {col} IS NULL")
+        for cname, cond in CHECKS.get(name, []):
+            parts.append(f"SELECT '{name}', 'CHECK', {key}, '{cname}' FROM {rel} WHERE NOT ({cond})")
+        for col, n in VARCHAR_LIMITS.get(name, {}).items():
+            if col in cols:
+                parts.append(f"SELECT '{name}', 'VARCHAR', {key}, '{col} > {n}' FROM {rel} WHERE length({col}) > {n}")
+        for keys, rule in [(PRIMARY_KEYS[name], "PRIMARY_KEY")] + [(k, "UNIQUE") for k in UNIQUE_KEYS.get(name, [])]:
+            nn = " AND ".join(f"{k} IS NOT NULL" for k in keys)
+            parts.append(f"SELECT '{name}', '{rule}', {_sql_key(keys)}, '{','.join(keys)} rows=' || CAST(count(*) AS VARCHAR) "
+                         f"FROM {rel} WHERE {nn} GROUP BY {', '.join(keys)} HAVING count(*) > 1")
+    for child, col, parent, pcol in FOREIGN_KEYS:
+        if child in tables and parent in tables:
+            key = _sql_key(PRIMARY_KEYS[child], "c")
+            parts.append(f"SELECT '{child}', 'FOREIGN_KEY', {key}, '{col}=' || CAST(c.{col} AS VARCHAR) || ' not in {parent}' "
+                         f"FROM {tables[child]} c WHERE c.{col} IS NOT NULL AND NOT EXISTS "
+                         f"(SELECT 1 FROM {tables[parent]} p WHERE p.{pcol} = c.{col})")
+    if "orders" in tables and "order_items" in tables:
+        parts.append(
+            "SELECT 'orders', 'TOTAL_MISMATCH', CAST(o.order_id AS VARCHAR), 'stored=' || CAST(o.total_amount AS VARCHAR) "
+            "|| ' lines=' || CAST(CAST(coalesce(s.s, 0) AS DECIMAL(18,2)) AS VARCHAR) "
+            f"FROM {tables['orders']} o LEFT JOIN (SELECT order_id, sum(line_total) AS s FROM {tables['order_items']} "
+            "GROUP BY order_id) s ON s.order_id = o.order_id WHERE o.total_amount <> coalesce(s.s, 0)")
+    return "\nUNION ALL\n".join(parts)
+
+
+def _sql_cols(name: str) -> set[str]:
+    from ..schemas import schema
+    return {f.name for f in schema(name).fields}
+
+
+def _sql_key(cols: list[str], alias: str | None = None) -> str:
+    pre = f"{alias}." if alias else ""
+    return "concat_ws(',', " + ", ".join(f"coalesce(CAST({pre}{c} AS VARCHAR), 'NULL')" for c in cols) + ")"
