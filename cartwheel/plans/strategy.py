@@ -29,7 +29,7 @@ def rows_per_chunk(spark) -> int:
     return int(spark.conf.get("cartwheel.skew.rowsPerChunk", str(ROWS_PER_CHUNK)))
 
 
-def running_total(df: DataFrame, key: list[str], order: list[str], value: str, out: str,
+def running_total(df: DataFrame, key: list[str], order: list[str], value, out,
                   inclusive: bool = True, agg: str = "sum", chunk_rows: int | None = None) -> DataFrame:
     """Per-key running ``agg`` (sum or max) of ``value`` in ``order``, safe for hot keys.
 
@@ -48,8 +48,11 @@ def running_total(df: DataFrame, key: list[str], order: list[str], value: str, o
        prefix-combined and broadcast back as offsets.
 
     ``inclusive=False`` covers strictly earlier rows only.  The first order
-    column must be numeric or a timestamp.
+    column must be numeric or a timestamp.  ``value``/``out`` may be lists
+    (several running aggregates share one pass).
     """
+    values = [value] if isinstance(value, str) else list(value)
+    outs = [out] if isinstance(out, str) else list(out)
     spark = df.sparkSession
     limit = chunk_rows or rows_per_chunk(spark)
     fn = {"sum": F.sum, "max": F.max}[agg]
@@ -68,18 +71,19 @@ def running_total(df: DataFrame, key: list[str], order: list[str], value: str, o
     c = c.drop("_m", "_lo", "_hi")
     end = 0 if inclusive else -1
     w = Window.partitionBy(*key, "_chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, end)
-    local = c.withColumn("_local", fn(value).over(w))
-    slices = c.filter(F.col("_hot")).groupBy(*key, "_chunk").agg(fn(value).alias("_slice"))
+    local = c.select("*", *[fn(v).over(w).alias(f"_local{i}") for i, v in enumerate(values)])
+    slices = c.filter(F.col("_hot")).groupBy(*key, "_chunk").agg(
+        *[fn(v).alias(f"_slice{i}") for i, v in enumerate(values)])
     prev = Window.partitionBy(*key).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = slices.select(*key, "_chunk", fn("_slice").over(prev).alias("_offset"))
+    offsets = slices.select(*key, "_chunk", *[fn(f"_slice{i}").over(prev).alias(f"_offset{i}")
+                                              for i in range(len(values))])
     joined = local.join(F.broadcast(offsets), key + ["_chunk"], "left")
-    if agg == "sum":
-        total = F.when(F.col("_offset").isNull(), F.col("_local")).when(
-            F.col("_local").isNull(), F.col("_offset")).otherwise(F.col("_offset") + F.col("_local"))
-    else:
-        total = F.when(F.col("_offset").isNull(), F.col("_local")).when(
-            F.col("_local").isNull(), F.col("_offset")).otherwise(F.greatest("_offset", "_local"))
-    return joined.withColumn(out, total).drop("_chunk", "_hot", "_local", "_offset")
+    for i, o in enumerate(outs):
+        lo, off = F.col(f"_local{i}"), F.col(f"_offset{i}")
+        both = off + lo if agg == "sum" else F.greatest(off, lo)
+        joined = joined.withColumn(o, F.when(off.isNull(), lo).when(lo.isNull(), off).otherwise(both))
+    drop = ["_chunk", "_hot"] + [f"_local{i}" for i in range(len(values))] + [f"_offset{i}" for i in range(len(values))]
+    return joined.drop(*drop)
 
 
 def top_k_per_group(df: DataFrame, group: list[str], order: list, k: int, salt_buckets: int = 16,

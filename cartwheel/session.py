@@ -31,6 +31,9 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
         b = b.master(master)
     conf = dict(DEFAULT_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if master and master.startswith("local"):
+        # local mode: the driver JVM is the only executor
+        conf["spark.driver.memory"] = os.environ.get("CARTWHEEL_DRIVER_MEMORY", "16g")
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)
