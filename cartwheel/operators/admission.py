@@ -164,7 +164,8 @@ def admit_commands(stock0: DataFrame, orders: DataFrame, order_lines: DataFrame,
                            .select(*ledger.columns))
         log.info("admission round %d: %d undecided", rounds, undecided)
         if _VERBOSE:
-            print(f"admission round {rounds}: {undecided} undecided", flush=True)
+            import time as _t
+            print(f"admission round {rounds}: {undecided} undecided at {_t.strftime('%H:%M:%S')}", flush=True)
     if rounds_out is not None:
         rounds_out.append(rounds)
 
