@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -57,10 +59,12 @@ def search_products(products: DataFrame, categories: DataFrame, *, category_id:
         p = p.filter(F.lower("product_name").like(f"%{search.lower()}%"))
     if in_stock_only:
         p = p.filter(F.col("stock_qty") > 0)
+    # bounds arrive as floats; their shortest decimal form compares the same
+    # way with 2-decimal prices and keeps the predicate pushable
     if min_price is not None:
-        p = p.filter(F.col("price").cast("double") >= F.lit(float(min_price)))
+        p = p.filter(F.col("price") >= F.lit(Decimal(repr(float(min_price)))))
     if max_price is not None:
-        p = p.filter(F.col("price").cast("double") <= F.lit(float(max_price)))
+        p = p.filter(F.col("price") <= F.lit(Decimal(repr(float(max_price)))))
     out = p.join(categories.select("category_id", "category_name"), "category_id").select(*SEARCH_COLUMNS)
     return out.orderBy(*sort_columns(sort)) if ordered else out
 
