@@ -33,7 +33,7 @@ import logging
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import REASON_CANCEL, REASON_ORDER
+from ..functions.scalars import movement_reason
 from ..plans.strategy import running_total
 from ..session import cut_lineage
 
@@ -195,9 +195,8 @@ def admit_commands(stock0: DataFrame, orders: DataFrame, order_lines: DataFrame,
     movements = acc.join(order_of, "dep", "left").join(reasons, "dep", "left").select(
         F.xxhash64("seq", "product_id").alias("movement_id"),
         "product_id", "seq", F.lit(None).cast("timestamp_ntz").alias("at"), (F.col("up") - F.col("need")).cast("int").alias("delta"),
-        F.when(F.col("related_order_id").isNull(), F.coalesce(F.nullif(F.trim("reason"), F.lit("")),
-                                                              F.lit("MANUAL_ADJUSTMENT")))
-        .when(F.col("up") > 0, REASON_CANCEL).otherwise(REASON_ORDER).alias("reason"),
+        movement_reason(F.when(F.col("related_order_id").isNull(), "ADJUST").when(F.col("up") > 0, "CANCEL")
+                        .otherwise("ORDER"), "reason").alias("reason"),
         "related_order_id")
     net = movements.groupBy("product_id").agg(F.sum("delta").alias("_net"))
     final_stock = opening.join(net, "product_id", "left").select(
