@@ -60,29 +60,29 @@ def running_total(df: DataFrame, key: list[str], order: list[str], value, out,
     if dict(df.dtypes)[order[0]].startswith("timestamp"):
         first = F.unix_micros(first.cast("timestamp"))
     first = first.cast("double")
-    hot = (df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"), F.min(first).alias("_lo"),
-                               F.max(first).alias("_hi"))
-           .filter(F.col("_n") > limit)
-           .select(*key, F.ceil(F.col("_n") / limit).alias("_m"), "_lo", "_hi"))
-    chunk = F.when(F.col("_m").isNull(), F.lit(0)).otherwise(F.least(
-        F.col("_m") - 1, F.floor((first - F.col("_lo")) * F.col("_m") / (F.col("_hi") - F.col("_lo") + 1))
+    hot = (df.groupBy(*key).agg(F.count(F.lit(1)).alias("__rt_n"), F.min(first).alias("__rt_lo"),
+                               F.max(first).alias("__rt_hi"))
+           .filter(F.col("__rt_n") > limit)
+           .select(*key, F.ceil(F.col("__rt_n") / limit).alias("__rt_m"), "__rt_lo", "__rt_hi"))
+    chunk = F.when(F.col("__rt_m").isNull(), F.lit(0)).otherwise(F.least(
+        F.col("__rt_m") - 1, F.floor((first - F.col("__rt_lo")) * F.col("__rt_m") / (F.col("__rt_hi") - F.col("__rt_lo") + 1))
     )).cast("long")
-    c = df.join(F.broadcast(hot), key, "left").withColumn("_chunk", chunk).withColumn("_hot", F.col("_m").isNotNull())
-    c = c.drop("_m", "_lo", "_hi")
+    c = df.join(F.broadcast(hot), key, "left").withColumn("__rt_chunk", chunk).withColumn("__rt_hot", F.col("__rt_m").isNotNull())
+    c = c.drop("__rt_m", "__rt_lo", "__rt_hi")
     end = 0 if inclusive else -1
-    w = Window.partitionBy(*key, "_chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, end)
-    local = c.select("*", *[fn(v).over(w).alias(f"_local{i}") for i, v in enumerate(values)])
-    slices = c.filter(F.col("_hot")).groupBy(*key, "_chunk").agg(
-        *[fn(v).alias(f"_slice{i}") for i, v in enumerate(values)])
-    prev = Window.partitionBy(*key).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = slices.select(*key, "_chunk", *[fn(f"_slice{i}").over(prev).alias(f"_offset{i}")
+    w = Window.partitionBy(*key, "__rt_chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, end)
+    local = c.select("*", *[fn(v).over(w).alias(f"__rt_local{i}") for i, v in enumerate(values)])
+    slices = c.filter(F.col("__rt_hot")).groupBy(*key, "__rt_chunk").agg(
+        *[fn(v).alias(f"__rt_slice{i}") for i, v in enumerate(values)])
+    prev = Window.partitionBy(*key).orderBy("__rt_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = slices.select(*key, "__rt_chunk", *[fn(f"__rt_slice{i}").over(prev).alias(f"__rt_offset{i}")
                                               for i in range(len(values))])
-    joined = local.join(F.broadcast(offsets), key + ["_chunk"], "left")
+    joined = local.join(F.broadcast(offsets), key + ["__rt_chunk"], "left")
     for i, o in enumerate(outs):
-        lo, off = F.col(f"_local{i}"), F.col(f"_offset{i}")
+        lo, off = F.col(f"__rt_local{i}"), F.col(f"__rt_offset{i}")
         both = off + lo if agg == "sum" else F.greatest(off, lo)
         joined = joined.withColumn(o, F.when(off.isNull(), lo).when(lo.isNull(), off).otherwise(both))
-    drop = ["_chunk", "_hot"] + [f"_local{i}" for i in range(len(values))] + [f"_offset{i}" for i in range(len(values))]
+    drop = ["__rt_chunk", "__rt_hot"] + [f"__rt_local{i}" for i in range(len(values))] + [f"__rt_offset{i}" for i in range(len(values))]
     return joined.drop(*drop)
 
 

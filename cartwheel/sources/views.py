@@ -56,7 +56,9 @@ class ShopViews:
     @cached_property
     def products(self) -> DataFrame:
         part = self.raw("part")
-        cats = F.broadcast(self.categories.select("category_id", F.col("category_name").alias("p_type")))
+        from ..plans.strategy import broadcast_if_bounded
+        cats = broadcast_if_bounded(self.categories.select("category_id", F.col("category_name").alias("p_type")),
+                                    max_rows=100_000)
         key = F.col("p_partkey")
         return part.join(cats, "p_type").select(
             key.alias("product_id"), "category_id",
