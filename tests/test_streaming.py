@@ -85,3 +85,30 @@ def test_inventory_stream_equals_batch(spark, tmp_path):
         "seq", "order_id", "user_id"), df.filter(F.col("kind") == "ADJUST").select(
         "seq", "product_id", F.col("quantity").alias("delta"), "reason"))
     assert got == {r.product_id: r.stock for r in final.collect()} == {1: 1, 2: 1}
+
+
+def test_cart_stream_equals_batch(spark, tmp_path):
+    import random
+
+    from cartwheel.operators.cart_fold import fold_cart
+    from tests.test_cart_fold import random_cart_log
+    cmds, users, products = random_cart_log(random.Random(11), n=40)
+    cols = "seq BIGINT, user_id BIGINT, kind STRING, product_id BIGINT, quantity INT"
+    df = spark.createDataFrame(cmds, cols)
+    staged = df.withColumn("_b", (F.col("seq") > 100).cast("int"))   # two batches in seq order
+    _write_parts(staged, str(tmp_path / "in"), "_b", 2)
+    u = spark.createDataFrame(list(users.items()), "user_id BIGINT, is_active BOOLEAN")
+    p = spark.createDataFrame([(k, s, a) for k, (s, a) in products.items()],
+                              "product_id BIGINT, stock_qty INT, is_active BOOLEAN")
+    out = str(tmp_path / "out")
+    q = start_cart_stream(_stream_dir(spark, str(tmp_path / "in"), cols), u, p, out, str(tmp_path / "ck"))
+    q.awaitTermination()
+    import os
+    last = sorted(d for d in os.listdir(out) if d.startswith("batch="))[-1]
+    got = {(r.user_id, r.product_id): r.quantity for r in spark.read.parquet(f"{out}/{last}/cart").collect()}
+    outcomes = {}
+    for d in sorted(x for x in os.listdir(out) if x.startswith("batch=")):
+        outcomes.update({r.seq: r.outcome for r in spark.read.parquet(f"{out}/{d}/outcomes").collect()})
+    want_out, want_state = fold_cart(df, u, p)
+    assert got == {(r.user_id, r.product_id): r.quantity for r in want_state.collect()}
+    assert outcomes == {r.seq: r.outcome for r in want_out.collect()}
