@@ -137,3 +137,37 @@ def cascade_delete_users(user_ids: DataFrame, users: DataFrame, carts: DataFrame
             F.lit("DELETED").alias("action")),
     ]
     return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+def cascade_delete_orders(order_ids: DataFrame, orders: DataFrame, order_items: DataFrame,
+                          order_audit: DataFrame, inventory_audit: DataFrame) -> DataFrame:
+    """A7 for orders: items and status history cascade; an order named by a
+    stock-audit row is RESTRICTed (BLOCKED)."""
+    ids = order_ids.select("order_id").distinct().join(orders.select("order_id"), "order_id", "left_semi")
+    blocked = ids.join(inventory_audit.select(F.col("related_order_id").alias("order_id")), "order_id", "left_semi")
+    gone = ids.join(blocked, "order_id", "left_anti")
+    parts = [
+        blocked.select(F.lit("orders").alias("table_name"), F.col("order_id").cast("string").alias("key"),
+                       F.lit("BLOCKED").alias("action")),
+        gone.select(F.lit("orders").alias("table_name"), F.col("order_id").cast("string").alias("key"),
+                    F.lit("DELETED").alias("action")),
+        order_items.join(gone, "order_id", "left_semi").select(
+            F.lit("order_items").alias("table_name"), F.col("order_item_id").cast("string").alias("key"),
+            F.lit("DELETED").alias("action")),
+        order_audit.join(gone, "order_id", "left_semi").select(
+            F.lit("order_audit").alias("table_name"), F.col("audit_id").cast("string").alias("key"),
+            F.lit("DELETED").alias("action")),
+    ]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+def delete_products(product_ids: DataFrame, products: DataFrame, cart_items: DataFrame, order_items: DataFrame,
+                    inventory_audit: DataFrame) -> DataFrame:
+    """A7 for products: any reference (cart, order line, stock audit) RESTRICTs."""
+    ids = product_ids.select("product_id").distinct().join(products.select("product_id"), "product_id", "left_semi")
+    refs = (cart_items.select("product_id").unionByName(order_items.select("product_id"))
+            .unionByName(inventory_audit.select("product_id")))
+    blocked = ids.join(refs, "product_id", "left_semi")
+    return ids.join(blocked.withColumn("_b", F.lit(True)), "product_id", "left").select(
+        F.lit("products").alias("table_name"), F.col("product_id").cast("string").alias("key"),
+        F.when(F.col("_b"), "BLOCKED").otherwise("DELETED").alias("action"))

@@ -19,7 +19,6 @@ applied late, not inserted back).
 
 from __future__ import annotations
 
-import os
 from collections.abc import Iterator
 
 import pandas as pd
@@ -117,20 +116,39 @@ def _batch_dir(root: str, batch_id: int) -> str:
     return f"{root.rstrip('/')}/batch={batch_id:012d}"
 
 
+def _fs(spark: SparkSession, path: str):
+    """Hadoop FileSystem of ``path`` (works for local, HDFS and object stores)."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    fs, jpath = _fs(spark, path)
+    return bool(fs.exists(jpath))
+
+
+def _commit(spark: SparkSession, target: str, batch_id: int) -> None:
+    """Mark a batch's outputs complete (written last, so its presence means all exist)."""
+    fs, jpath = _fs(spark, f"{target}/_COMMITTED")
+    out = fs.create(jpath, True)
+    out.write(bytearray(str(batch_id), "ascii"))
+    out.close()
+
+
+def _list(spark: SparkSession, root: str) -> list[str]:
+    if not _exists(spark, root):
+        return []
+    fs, jpath = _fs(spark, root)
+    return [st.getPath().getName() for st in fs.listStatus(jpath) if st.getPath().getName().startswith("batch=")]
+
+
 def _latest_snapshot(spark: SparkSession, root: str, name: str, initial: DataFrame) -> DataFrame:
-    done = sorted(d for d in _list(root) if os.path.exists(f"{root}/{d}/_COMMITTED"))
+    done = sorted(d for d in _list(spark, root) if _exists(spark, f"{root}/{d}/_COMMITTED"))
     if not done:
         return initial
     return spark.read.parquet(f"{root}/{done[-1]}/{name}")
 
 
-def _list(root: str) -> list[str]:
-    try:
-        return [d for d in os.listdir(root) if d.startswith("batch=")]
-    except FileNotFoundError:
-        return []
-
-
 def start_inventory_stream(command_stream: DataFrame, opening_stock: DataFrame, out_root: str,
                            checkpoint: str, trigger: dict | None = None):
     """Admission + inventory audit per micro-batch.
@@ -150,7 +168,7 @@ def start_inventory_stream(command_stream: DataFrame, opening_stock: DataFrame,
     def apply(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         target = _batch_dir(out_root, batch_id)
-        if os.path.exists(f"{target}/_COMMITTED"):
+        if _exists(spark, f"{target}/_COMMITTED"):
             return  # replayed batch: outputs already exist
         stock0 = _latest_snapshot(spark, out_root, "stock", opening_stock)
         placed = _latest_snapshot(spark, out_root, "placed", no_placed)
@@ -184,8 +202,7 @@ def start_inventory_stream(command_stream: DataFrame, opening_stock: DataFrame,
                       .join(lines, "order_id"))
         (placed.join(cancelled, "order_id", "left_anti").unionByName(new_placed.select(*placed.columns))
          .write.mode("overwrite").parquet(f"{target}/placed"))
-        with open(f"{target}/_COMMITTED", "w") as fh:
-            fh.write(str(batch_id))
+        _commit(spark, target, batch_id)
 
     w = command_stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     return w.trigger(**(trigger or {"availableNow": True})).start()
@@ -203,7 +220,7 @@ def start_cart_stream(command_stream: DataFrame, users: DataFrame, products: Dat
     def apply(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         target = _batch_dir(out_root, batch_id)
-        if os.path.exists(f"{target}/_COMMITTED"):
+        if _exists(spark, f"{target}/_COMMITTED"):
             return
         cart = _latest_snapshot(spark, out_root, "cart", empty)
         items = cart.select(F.col("user_id").alias("cart_id"), "product_id", "quantity")
@@ -217,8 +234,7 @@ def start_cart_stream(command_stream: DataFrame, users: DataFrame, products: Dat
                 .join(cleared, "user_id", "left_anti"))
         outcomes.write.mode("overwrite").parquet(f"{target}/outcomes")
         kept.unionByName(state).write.mode("overwrite").parquet(f"{target}/cart")
-        with open(f"{target}/_COMMITTED", "w") as fh:
-            fh.write(str(batch_id))
+        _commit(spark, target, batch_id)
 
     w = command_stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     return w.trigger(**(trigger or {"availableNow": True})).start()

@@ -116,3 +116,17 @@ def test_search_like_keeps_wildcards(spark):
     assert {r.product_id for r in B.search_products(p, c, search="A_B").collect()} == {1, 2}
     assert {r.product_id for r in B.search_products(p, c, search="").collect()} == {1, 2}
     assert {r.product_id for r in B.search_products(p, c, min_price=1.5, in_stock_only=True).collect()} == set()
+
+
+def test_cascade_delete_orders_and_products(spark):
+    orders = spark.createDataFrame([(1,), (2,)], "order_id LONG")
+    items = spark.createDataFrame([(11, 1, 5), (21, 2, 6)], "order_item_id LONG, order_id LONG, product_id LONG")
+    oaudit = spark.createDataFrame([(100, 1), (200, 2)], "audit_id LONG, order_id LONG")
+    iaudit = spark.createDataFrame([(5, 2)], "product_id LONG, related_order_id LONG")
+    rep = {(r.table_name, r.key, r.action) for r in A.cascade_delete_orders(orders, orders, items, oaudit, iaudit).collect()}
+    assert rep == {("orders", "2", "BLOCKED"), ("orders", "1", "DELETED"), ("order_items", "11", "DELETED"),
+                   ("order_audit", "100", "DELETED")}
+    prods = spark.createDataFrame([(5,), (6,), (7,)], "product_id LONG")
+    carts = spark.createDataFrame([(7,)], "product_id LONG").limit(0)
+    rep = {(r.key, r.action) for r in A.delete_products(prods, prods, carts, items, iaudit).collect()}
+    assert rep == {("5", "BLOCKED"), ("6", "BLOCKED"), ("7", "DELETED")}
