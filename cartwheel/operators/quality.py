@@ -170,8 +170,11 @@ def check_constraints(tables: dict[str, DataFrame]) -> DataFrame:
         rv = row_violations(name, df)
         if rv is not None:
             parts.append(rv)
-        key_sets = [(PRIMARY_KEYS[name], "PRIMARY_KEY")] + [(k, "UNIQUE") for k in UNIQUE_KEYS.get(name, [])]
-        parts.append(table_key_violations(name, df, key_sets))
+        # one partial aggregate per key: measured faster at sf0.1 than one
+        # GROUPING SETS aggregate, whose Expand multiplies the shuffled rows
+        parts.append(key_violations(name, df, PRIMARY_KEYS[name], "PRIMARY_KEY"))
+        for keys in UNIQUE_KEYS.get(name, []):
+            parts.append(key_violations(name, df, keys, "UNIQUE"))
     for child, col, parent, pcol in FOREIGN_KEYS:
         if child in tables and parent in tables and col in tables[child].columns:
             parts.append(fk_violations(child, tables[child], col, parent, tables[parent], pcol))

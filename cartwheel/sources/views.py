@@ -25,6 +25,16 @@ SEQ_DAY = 1_000_000_000_000
 OPENING_FACTOR = 10
 
 
+_BOUND_CHECKED: dict[str, bool] = {}
+CATEGORY_BROADCAST_ROWS = 100_000
+
+
+def _categories_bounded(cats: DataFrame, key: str) -> bool:
+    if key not in _BOUND_CHECKED:
+        _BOUND_CHECKED[key] = cats.limit(CATEGORY_BROADCAST_ROWS + 1).count() <= CATEGORY_BROADCAST_ROWS
+    return _BOUND_CHECKED[key]
+
+
 def epoch() -> F.Column:
     return F.expr(f"TIMESTAMP_NTZ '{EPOCH}'")
 
@@ -56,9 +66,11 @@ class ShopViews:
     @cached_property
     def products(self) -> DataFrame:
         part = self.raw("part")
-        from ..plans.strategy import broadcast_if_bounded
-        cats = broadcast_if_bounded(self.categories.select("category_id", F.col("category_name").alias("p_type")),
-                                    max_rows=100_000)
+        cats = self.categories.select("category_id", F.col("category_name").alias("p_type"))
+        # the category dimension is broadcast once its size has been checked
+        # for this dataset (one bounded count, remembered per folder)
+        if _categories_bounded(cats, self.sf_dir):
+            cats = F.broadcast(cats)
         key = F.col("p_partkey")
         return part.join(cats, "p_type").select(
             key.alias("product_id"), "category_id",
