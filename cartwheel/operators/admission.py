@@ -40,6 +40,10 @@ from ..session import cut_lineage
 log = logging.getLogger(__name__)
 
 ACCEPTED, REJECTED, UNDECIDED = "A", "R", "U"
+# Rounds between two folds of the decided prefix into the opening stock
+# (each fold rewrites the working ledger; folding every round costs more
+# than it saves).
+FOLD_EVERY = 3
 _VERBOSE = False
 
 
@@ -150,6 +154,12 @@ def admit_commands(stock0: DataFrame, orders: DataFrame, order_lines: DataFrame,
         status = cut_lineage(status.join(upd, "cmd", "left")
                              .select("cmd", F.coalesce("_new", "st").alias("st")))
         undecided = status.filter(F.col("st") == UNDECIDED).count()
+        log.info("admission round %d: %d undecided", rounds, undecided)
+        if _VERBOSE:
+            import time as _t
+            print(f"admission round {rounds}: {undecided} undecided at {_t.strftime('%H:%M:%S')}", flush=True)
+        if undecided == 0 or rounds % FOLD_EVERY:
+            continue
         # fold the decided head of every product into its opening stock
         rows2 = work.join(status.withColumnRenamed("cmd", "dep"), "dep", "left")
         pending = F.col("st") == UNDECIDED
@@ -162,10 +172,6 @@ def admit_commands(stock0: DataFrame, orders: DataFrame, order_lines: DataFrame,
             "product_id", (F.col("stock") + F.coalesce("_d", F.lit(0))).alias("stock")))
         work = cut_lineage(tagged.filter(F.col("_cut").isNotNull() & (F.col("seq") >= F.col("_cut")))
                            .select(*ledger.columns))
-        log.info("admission round %d: %d undecided", rounds, undecided)
-        if _VERBOSE:
-            import time as _t
-            print(f"admission round {rounds}: {undecided} undecided at {_t.strftime('%H:%M:%S')}", flush=True)
     if rounds_out is not None:
         rounds_out.append(rounds)
 

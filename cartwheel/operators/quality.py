@@ -97,32 +97,6 @@ def key_violations(table: str, df: DataFrame, keys: list[str], rule: str) -> Dat
                       F.concat(F.lit(",".join(keys) + " rows="), F.col("_n").cast("string")).alias("detail"))
 
 
-def table_key_violations(table: str, df: DataFrame, key_sets: list[tuple[list[str], str]]) -> DataFrame:
-    """H2 for every key of one table in a single aggregate (GROUPING SETS).
-
-    One shuffle per table instead of one per key; ``grouping_id`` tells the
-    sets apart, and groups whose own key columns hold a NULL are dropped
-    (NULLs never collide).
-    """
-    if len(key_sets) == 1:
-        keys, rule = key_sets[0]
-        return key_violations(table, df, keys, rule)
-    cols = []
-    for keys, _ in key_sets:
-        cols += [k for k in keys if k not in cols]
-    g = df.groupingSets([keys for keys, _ in key_sets], *cols).agg(
-        F.count(F.lit(1)).alias("_n"), F.grouping_id().alias("_gid"))
-    parts = None
-    for keys, rule in key_sets:
-        gid = sum(1 << (len(cols) - 1 - i) for i, c in enumerate(cols) if c not in keys)
-        ok = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-        sel = g.filter((F.col("_gid") == gid) & ok & (F.col("_n") > 1)).select(
-            F.lit(table).alias("table_name"), F.lit(rule).alias("rule"), _key_text(keys).alias("key"),
-            F.concat(F.lit(",".join(keys) + " rows="), F.col("_n").cast("string")).alias("detail"))
-        parts = sel if parts is None else parts.unionByName(sel)
-    return parts
-
-
 def fk_violations(child_name: str, child: DataFrame, col: str, parent_name: str, parent: DataFrame,
                   parent_col: str) -> DataFrame:
     """H3: references to a missing parent row."""
