@@ -108,3 +108,8 @@ def fold_sessions(sessions: DataFrame, events: DataFrame) -> DataFrame:
         F.coalesce("revoked_at", F.col("_first_logout.at")).alias("revoked_at"),
         F.coalesce("_last_used", "last_used_at").alias("last_used_at"),
         F.coalesce("refused_uses", F.lit(0)).cast("bigint").alias("refused_uses"))
+
+
+def pseudonymise_token(df: DataFrame, col: str, secret: str, out: str | None = None) -> DataFrame:
+    """Replace (or add as ``out``) a token column by SHA-256 hex of ``token:secret``."""
+    return df.withColumn(out or col, token_hash(col, secret))

@@ -171,3 +171,8 @@ def delete_products(product_ids: DataFrame, products: DataFrame, cart_items: Dat
     return ids.join(blocked.withColumn("_b", F.lit(True)), "product_id", "left").select(
         F.lit("products").alias("table_name"), F.col("product_id").cast("string").alias("key"),
         F.when(F.col("_b"), "BLOCKED").otherwise("DELETED").alias("action"))
+
+
+def touch_updated_at(df: DataFrame, changed, as_of, col: str = "updated_at") -> DataFrame:
+    """Set ``col`` to ``as_of`` on rows where ``changed`` (a Column) holds."""
+    return df.withColumn(col, F.when(changed, F.lit(as_of).cast("timestamp_ntz")).otherwise(F.col(col)))

@@ -130,3 +130,13 @@ def test_cascade_delete_orders_and_products(spark):
     carts = spark.createDataFrame([(7,)], "product_id LONG").limit(0)
     rep = {(r.key, r.action) for r in A.delete_products(prods, prods, carts, items, iaudit).collect()}
     assert rep == {("5", "BLOCKED"), ("6", "BLOCKED"), ("7", "DELETED")}
+
+
+def test_touch_and_pseudonymise(spark):
+    from cartwheel.operators.accounts import pseudonymise_token
+    df = spark.createDataFrame([(1, "t1", dt.datetime(2024, 1, 1)), (2, "t2", dt.datetime(2024, 1, 1))],
+                               "id LONG, token STRING, updated_at TIMESTAMP_NTZ")
+    out = A.touch_updated_at(df, F.col("id") == 2, "2024-03-03 00:00:00").orderBy("id").collect()
+    assert [r.updated_at for r in out] == [dt.datetime(2024, 1, 1), dt.datetime(2024, 3, 3)]
+    h = pseudonymise_token(df, "token", "k", out="token_hash").orderBy("id").first()
+    assert h.token_hash == hashlib.sha256(b"t1:k").hexdigest() and h.token == "t1"
