@@ -29,8 +29,30 @@ def rows_per_chunk(spark) -> int:
     return int(spark.conf.get("cartwheel.skew.rowsPerChunk", str(ROWS_PER_CHUNK)))
 
 
+def _order_number(df: DataFrame, col: str) -> Column:
+    first = F.col(col)
+    if dict(df.dtypes)[col].startswith("timestamp"):
+        first = F.unix_micros(first.cast("timestamp"))
+    return first.cast("double")
+
+
+def hot_keys(df: DataFrame, key: list[str], order_col: str, chunk_rows: int | None = None) -> DataFrame:
+    """Keys with more than ``chunk_rows`` rows, their chunk count and order range.
+
+    At most N / chunk_rows rows.  Computed once, it can be reused by every
+    ``running_total`` over a subset of ``df`` (iterative operators).
+    """
+    limit = chunk_rows or rows_per_chunk(df.sparkSession)
+    first = _order_number(df, order_col)
+    return (df.groupBy(*key).agg(F.count(F.lit(1)).alias("__rt_n"), F.min(first).alias("__rt_lo"),
+                                 F.max(first).alias("__rt_hi"))
+            .filter(F.col("__rt_n") > limit)
+            .select(*key, F.ceil(F.col("__rt_n") / limit).alias("__rt_m"), "__rt_lo", "__rt_hi"))
+
+
 def running_total(df: DataFrame, key: list[str], order: list[str], value, out,
-                  inclusive: bool = True, agg: str = "sum", chunk_rows: int | None = None) -> DataFrame:
+                  inclusive: bool = True, agg: str = "sum", chunk_rows: int | None = None,
+                  hot: DataFrame | None = None) -> DataFrame:
     """Per-key running ``agg`` (sum or max) of ``value`` in ``order``, safe for hot keys.
 
     A plain ``Window.partitionBy(key)`` puts every row of a key in one task;
@@ -49,21 +71,15 @@ def running_total(df: DataFrame, key: list[str], order: list[str], value, out,
 
     ``inclusive=False`` covers strictly earlier rows only.  The first order
     column must be numeric or a timestamp.  ``value``/``out`` may be lists
-    (several running aggregates share one pass).
+    (several running aggregates share one pass).  ``hot`` may pass a
+    ``hot_keys`` table computed once over a superset of ``df``.
     """
     values = [value] if isinstance(value, str) else list(value)
     outs = [out] if isinstance(out, str) else list(out)
-    spark = df.sparkSession
-    limit = chunk_rows or rows_per_chunk(spark)
     fn = {"sum": F.sum, "max": F.max}[agg]
-    first = F.col(order[0])
-    if dict(df.dtypes)[order[0]].startswith("timestamp"):
-        first = F.unix_micros(first.cast("timestamp"))
-    first = first.cast("double")
-    hot = (df.groupBy(*key).agg(F.count(F.lit(1)).alias("__rt_n"), F.min(first).alias("__rt_lo"),
-                               F.max(first).alias("__rt_hi"))
-           .filter(F.col("__rt_n") > limit)
-           .select(*key, F.ceil(F.col("__rt_n") / limit).alias("__rt_m"), "__rt_lo", "__rt_hi"))
+    first = _order_number(df, order[0])
+    if hot is None:
+        hot = hot_keys(df, key, order[0], chunk_rows)
     chunk = F.when(F.col("__rt_m").isNull(), F.lit(0)).otherwise(F.least(
         F.col("__rt_m") - 1, F.floor((first - F.col("__rt_lo")) * F.col("__rt_m") / (F.col("__rt_hi") - F.col("__rt_lo") + 1))
     )).cast("long")
