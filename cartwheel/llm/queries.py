@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe
+from . import bpe, sharding, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -32,3 +33,31 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded again: doc_id, n_tokens, ids_sha256, decoded_sha256."""
     return bpe.encode(table(spark, sf_dir, "documents"), bpe.read_vocabulary(vocabulary_path()),
                       outputs=["n_tokens", "ids_sha256", "decoded_sha256"])
+
+
+@query
+def op1_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 best inner products of every vector whose id is divisible by 50: query_id, rank, vec_id, score."""
+    return topk.top_k(table(spark, sf_dir, "embeddings"), lambda i: i % 50 == 0, k=5)
+
+
+ORACLES["op1_maxscore"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM scored QUALIFY rank <= 5
+"""
+
+
+@query
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in shards 0 to 23 of near equal bytes, equal texts together."""
+    placed = sharding.shard(table(spark, sf_dir, "documents"), shards=24)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"))
