@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, sharding, topk
+from . import bpe, langid, sharding, topk, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -61,3 +61,32 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shard(table(spark, sf_dir, "documents"), shards=24)
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
                          F.lit(None).cast("int").alias("grown_shard"))
+
+
+def id_remainder(divisor: int):
+    """crc32 of the id as text, modulo ``divisor`` (null for a null id)."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % divisor
+
+
+def toxicity_model(spark: SparkSession, sf_dir: str, docs: DataFrame | None = None) -> toxicity.Model:
+    """Fitted on labels whose remainder by 5 is not 0."""
+    labels = table(spark, sf_dir, "labels").filter(id_remainder(5) != 0)
+    return toxicity.fit(docs if docs is not None else table(spark, sf_dir, "documents"), labels)
+
+
+@query
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document: doc_id, held_out, score, predicted."""
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity.score(docs, toxicity_model(spark, sf_dir))
+    return scored.select("doc_id", F.coalesce(id_remainder(5) == 0, F.lit(False)).alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query
+def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document: doc_id, held_out, lang_pred, score."""
+    docs = table(spark, sf_dir, "documents")
+    network = langid.fit(docs.filter(id_remainder(3) != 1))
+    return (langid.predict(docs, network)
+            .select("doc_id", F.coalesce(id_remainder(3) == 1, F.lit(False)).alias("held_out"), "lang_pred", "score"))
