@@ -8,7 +8,7 @@ import pytest
 
 from cartwheel.llm import toxicity
 from cartwheel.llm.queries import op7_toxicity
-from tests.conftest import SF01
+SF1 = "/root/testdata/sf0.1"
 
 
 def names(column, lexicon):
@@ -53,10 +53,10 @@ def test_defined_cases(spark):
 
 
 def test_held_out_quality(spark):
-    toxic = {r.doc_id: r.toxic for r in spark.read.parquet(f"{SF01}/labels.parquet").collect()}
-    rows = op7_toxicity(spark, SF01).collect()
-    assert len(rows) == 1000 and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in rows)
+    toxic = {r.doc_id: r.toxic for r in spark.read.parquet(f"{SF1}/labels.parquet").collect()}
+    rows = op7_toxicity(spark, SF1).collect()
+    assert len(rows) == 10_000 and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in rows)
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in rows)
     held = [(toxic[r.doc_id], r.score) for r in rows if r.held_out and r.doc_id in toxic]
     pairs = [(a > b) + 0.5 * (a == b) for y, a in held if y for z, b in held if not z]
-    assert sum(pairs) / len(pairs) > 0.75
+    assert sum(pairs) / len(pairs) > 0.98
