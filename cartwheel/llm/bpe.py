@@ -2,9 +2,8 @@
 
 Two adjacent bytes that occur inside no vocabulary token can never be
 merged into one token, so the place between them is a certain cut.  Every
-pre-token is split at those cuts, the fragments are merged independently
-(each distinct fragment once per worker while the cache holds it) and the
-ids are concatenated.  The result equals encoding the whole text at once.
+pre-token is split at those cuts; distinct fragments are merged on their own
+and the ids are concatenated.  The result equals encoding the whole text at once.
 
 Defined cases: null text is encoded like the empty text (no ids); very long
 texts are encoded whole; repeated rows give repeated results; an empty table
@@ -24,16 +23,21 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .worker import cached
+from .words import SpanHasher
+from .worker import cached, slices, text_buffers
 
 # The pre-token pattern of byte-level BPE and the printable bytes that stand for themselves.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 PRINTABLE = [(33, 126), (161, 172), (174, 255)]
 
-#: Pre-tokens (and fragments) a worker remembers; the table starts afresh when full, results never depend on it.
-CACHE_ITEMS = 250_000
-#: Longer pieces are not remembered.
+#: Fragments a worker remembers in its younger and in its older table; results never depend on it.
+CACHE_ITEMS = 300_000
+#: Longer fragments are not remembered.
 CACHE_BYTES = 64
+#: Text bytes encoded in one go (a longer text is taken whole).
+BATCH_BYTES = 1 << 20
+
+SPACE, LETTER, NUMBER, OTHER = range(4)
 
 
 def byte_chars() -> list[str]:
@@ -43,6 +47,84 @@ def byte_chars() -> list[str]:
     return [chr(b) if b in own else chr(next(rest)) for b in range(256)]
 
 
+def _classes() -> np.ndarray:
+    """Class of every code point, as the pre-token pattern tells them apart."""
+    points = np.concatenate([np.arange(0xD800), np.arange(0xE000, 0x110000)]).astype("<u4")
+    every = points.tobytes().decode("utf-32-le")
+    out = np.full(0x110000, OTHER, np.uint8)
+    for pattern, kind in ((r"\s+", SPACE), (r"\p{L}+", LETTER), (r"\p{N}+", NUMBER)):
+        for m in regex.finditer(pattern, every):
+            out[points[m.start():m.end()]] = kind
+    return out
+
+
+def pretoken_starts(points: np.ndarray, text_starts: np.ndarray, classes: np.ndarray) -> np.ndarray:
+    """Where the pattern's matches begin, for the code points of texts laid end to end.
+
+    Runs of one class are matches; a blank before a run of another class
+    belongs to it; of a longer run of white space only the last character is
+    left for what follows; an apostrophe that begins a match takes a
+    following s, t, m, d, re, ve or ll with it.
+    """
+    n = len(points)
+    kind = classes[points]
+    first = np.zeros(n + 1, bool)
+    first[text_starts] = True
+    first[n] = True
+    begins = first[:-1].copy()
+    begins[1:] |= kind[1:] != kind[:-1]
+    # white space before something else of the same text: its last character starts a match, and a blank joins the run
+    after = np.flatnonzero((kind[1:] != SPACE) & (kind[:-1] == SPACE) & ~first[1:-1]) + 1
+    begins[after - 1] = True
+    begins[after[points[after - 1] == 0x20]] = False
+    quote = np.flatnonzero(points == 0x27)
+    if len(quote):
+        padded = np.append(points, [0, 0, 0]).astype(np.int64)
+        ends = np.append(first, [True, True, True])
+        free = quote[begins[quote]]  # begins a match of its own, not joined by a blank
+        one, two = padded[free + 1], padded[free + 2]
+        near, far = ~ends[free + 1], ~ends[free + 1] & ~ends[free + 2]
+        is_in = lambda v, text: np.isin(v, [ord(c) for c in text])
+        length = np.where(near & is_in(one, "stmd"), 1, 0)
+        pair = ((one == ord("r")) & (two == ord("e"))) | ((one == ord("v")) & (two == ord("e"))) | ((one == ord("l")) & (two == ord("l")))
+        length = np.where(far & pair, 2, length)
+        free, length = free[length > 0], length[length > 0]
+        begins[free + 1] = False
+        stop = free + 1 + length
+        inside = stop < n
+        begins[stop[inside]] |= kind[stop[inside]] == LETTER
+    return np.flatnonzero(begins)
+
+
+#: Ids of a fragment, the same in decimal, and the bytes they decode to.
+Fragment = tuple[tuple[int, ...], bytes, bytes]
+
+
+class Encoded:
+    """Texts as places into a table of distinct fragments."""
+
+    def __init__(self, fragments: list[Fragment], place: np.ndarray, bounds: np.ndarray):
+        self.fragments, self.place, self.bounds = fragments, place, bounds
+        self.lengths = np.array([len(f[0]) for f in fragments], np.int64)
+
+    def counts(self) -> np.ndarray:
+        run = np.concatenate([[0], np.cumsum(self.lengths[self.place])])
+        return run[self.bounds[1:]] - run[self.bounds[:-1]]
+
+    def flat(self) -> np.ndarray:
+        """All ids in order."""
+        table = np.array([i for f in self.fragments for i in f[0]], np.int32)
+        start = np.cumsum(self.lengths) - self.lengths
+        length = self.lengths[self.place]
+        within = np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length)
+        return table[np.repeat(start[self.place], length) + within]
+
+    def joined(self, part: int, separator: bytes) -> list[bytes]:
+        """For each text the decimal ids (1) or the decoded bytes (2) of its fragments, joined."""
+        table = np.array([*[f[part] for f in self.fragments], b""], object)
+        return [separator.join(table[self.place[a:b]].tolist()) for a, b in zip(self.bounds[:-1], self.bounds[1:])]
+
+
 class ByteBPE:
     """One vocabulary file, ready to encode and decode."""
 
@@ -57,7 +139,7 @@ class ByteBPE:
             raise ValueError("added tokens that strip or need word bounds are not handled")
         self.chars = byte_chars()
         to_byte = {c: b for b, c in enumerate(self.chars)}
-        self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        self.special = {t["content"].encode(): t["id"] for t in spec["added_tokens"]}
         self.token_bytes: dict[int, bytes] = {}
         inside = np.zeros((256, 256), bool)
         for token, i in spec["model"]["vocab"].items():
@@ -65,62 +147,75 @@ class ByteBPE:
             self.token_bytes[i] = raw
             b = np.frombuffer(raw, np.uint8)
             inside[b[:-1], b[1:]] = True
-        self.token_bytes |= {i: s.encode() for s, i in self.special.items()}
-        self.forced = ~inside
+        self.token_bytes |= {i: s for s, i in self.special.items()}
+        self.forced = ~inside.reshape(-1)
         self.model = Tokenizer.from_str(vocabulary).model
-        self.find = regex.compile(PATTERN).findall
+        self.classes = _classes()
         names = sorted(self.special, key=len, reverse=True)
-        self.split_special = regex.compile("(" + "|".join(map(regex.escape, names)) + ")").split if names else None
-        self.pieces: dict[str, list[int]] = {}
-        self.fragments: dict[bytes, list[int]] = {}
-
-    def fragment_ids(self, raw: bytes) -> list[int]:
-        ids = self.fragments.get(raw)
-        if ids is None:
-            ids = [t.id for t in self.model.tokenize("".join([self.chars[b] for b in raw]))]
+        self.find_special = regex.compile(b"|".join(map(regex.escape, names))).finditer if names else None
+        self.young: dict[bytes, Fragment] = {}
+        self.old: dict[bytes, Fragment] = {}
+
+    def _made(self, ids: tuple[int, ...]) -> Fragment:
+        return ids, ",".join(map(str, ids)).encode(), self.token_string(ids)
+
+    def fragment(self, raw: bytes) -> Fragment:
+        """One fragment, merged on its own."""
+        got = self.young.get(raw)
+        if got is None:
+            got = self.old.get(raw)
+            if got is None:
+                got = self._made(tuple([t.id for t in self.model.tokenize("".join([self.chars[b] for b in raw]))]))
             if len(raw) <= CACHE_BYTES:
-                if len(self.fragments) >= CACHE_ITEMS:
-                    self.fragments.clear()
-                self.fragments[raw] = ids
-        return ids
-
-    def piece_ids(self, piece: str) -> list[int]:
-        """Ids of one pre-token: cut at the forced boundaries, merge each fragment, concatenate."""
-        raw = piece.encode()
-        b = np.frombuffer(raw, np.uint8)
-        cuts = np.flatnonzero(self.forced[b[:-1], b[1:]]) + 1
-        if not len(cuts):
-            ids = self.fragment_ids(raw)
-        else:
-            ids, at = [], 0
-            for stop in [*cuts.tolist(), len(raw)]:
-                ids.extend(self.fragment_ids(raw[at:stop]))
-                at = stop
-        if len(raw) <= CACHE_BYTES:
-            if len(self.pieces) >= CACHE_ITEMS:
-                self.pieces.clear()
-            self.pieces[piece] = ids
-        return ids
+                if len(self.young) >= CACHE_ITEMS:
+                    self.old, self.young = self.young, {}
+                self.young[raw] = got
+        return got
+
+    def encode_batch(self, data: np.ndarray, offsets: np.ndarray) -> Encoded:
+        """All texts of a buffer of UTF-8 bytes: pre-tokens, forced cuts, distinct fragments, ids."""
+        if not len(data):
+            return Encoded([], np.empty(0, np.int64), np.zeros(len(offsets), np.int64))
+        raw = data.tobytes()
+        specials = []  # a special token and what follows it start afresh, as texts do
+        if self.find_special and any(s in raw for s in self.special):
+            for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
+                specials += [(a + m.start(), a + m.end()) for m in self.find_special(raw[a:b])]
+        points = np.frombuffer(raw.decode("utf-8").encode("utf-32-le"), "<u4")
+        width = 1 + (points >= 0x80).astype(np.int64) + (points >= 0x800) + (points >= 0x10000)
+        byte_of = np.concatenate([[0], np.cumsum(width)])
+        parts = np.unique(np.concatenate([offsets[:-1], np.array(specials, np.int64).reshape(-1)]))
+        parts = parts[parts < len(data)]
+        starts = byte_of[pretoken_starts(points, np.searchsorted(byte_of, parts), self.classes)]
+        cut = np.zeros(len(data), bool)
+        cut[1:] = self.forced[(data[:-1].astype(np.int32) << 8) | data[1:]]
+        cut[starts] = True
+        for a, b in specials:
+            cut[a + 1:b] = False
+        start = np.flatnonzero(cut)
+        end = np.append(start[1:], len(data))
+        first, second = (SpanHasher(data, seed)(start, end) for seed in (1, 2))
+        _, place, where = np.unique(first, return_index=True, return_inverse=True)
+        if not np.array_equal(second, second[place][where]):  # two fragments share a 64-bit hash: tell them apart by both
+            _, place, where = np.unique(np.column_stack([first, second]), axis=0, return_index=True, return_inverse=True)
+            where = where.reshape(-1)
+        special = dict(specials)
+        found = [self._made((self.special[raw[a:b]],)) if special.get(a) == b else self.fragment(raw[a:b])
+                 for a, b in zip(start[place].tolist(), end[place].tolist())]
+        return Encoded(found, where, np.searchsorted(start, offsets))
 
     def encode(self, text: str | None) -> list[int]:
-        out: list[int] = []
-        known, miss = self.pieces.get, self.piece_ids
-        for k, part in enumerate(self.split_special(text or "") if self.split_special else [text or ""]):
-            if k % 2:
-                out.append(self.special[part])
-                continue
-            for piece in self.find(part):
-                ids = known(piece)
-                out += miss(piece) if ids is None else ids
-        return out
+        return self.encode_batch(*text_buffers(pa.array([text], pa.string()))).flat().tolist()
+
+    def token_string(self, ids) -> bytes:
+        return b"".join([self.token_bytes[i] for i in ids])
 
     def decode(self, ids) -> str:
-        return b"".join([self.token_bytes[i] for i in ids]).decode("utf-8", "replace")
+        return self.token_string(ids).decode("utf-8", "replace")
 
 
 #: Output columns that ``encode`` and ``decode`` can give.
-KINDS = {"ids": "array<int>", "n_tokens": "long", "ids_sha256": "string", "decoded": "string", "decoded_sha256": "string"}
-ARROW = {"ids": pa.list_(pa.int32()), "n_tokens": pa.int64(), "ids_sha256": pa.string(), "decoded": pa.string(), "decoded_sha256": pa.string()}
+KINDS = {"decoded": "string", "ids": "array<int>", "n_tokens": "long", "ids_sha256": "string", "decoded_sha256": "string"}
 
 
 def read_vocabulary(path: str) -> str:
@@ -128,14 +223,21 @@ def read_vocabulary(path: str) -> str:
         return f.read()
 
 
-def _outputs(bpe: ByteBPE, ids: list[int], outputs: list[str]) -> dict:
-    row = {"ids": ids, "n_tokens": len(ids)}
+def _columns(bpe: ByteBPE, column, outputs: list[str]) -> list[pa.Array]:
+    """The asked outputs for a column of texts; decoded bytes are made from the ids."""
+    got = bpe.encode_batch(*text_buffers(column))
+    made: dict[str, pa.Array] = {"n_tokens": pa.array(got.counts())}
+    if "ids" in outputs:
+        made["ids"] = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(got.counts())]), pa.int32()), pa.array(got.flat()))
     if "ids_sha256" in outputs:
-        row["ids_sha256"] = hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+        lists = got.joined(1, b",")
+        made["ids_sha256"] = pa.array([hashlib.sha256(x).hexdigest() for x in lists])
     if "decoded" in outputs or "decoded_sha256" in outputs:
-        row["decoded"] = bpe.decode(ids)
-        row["decoded_sha256"] = hashlib.sha256(row["decoded"].encode()).hexdigest()
-    return row
+        texts = [x.decode("utf-8", "replace") for x in got.joined(2, b"")]
+        made["decoded"] = pa.array(texts, pa.string())
+        if "decoded_sha256" in outputs:
+            made["decoded_sha256"] = pa.array([hashlib.sha256(x.encode()).hexdigest() for x in texts])
+    return [made[o] for o in outputs]
 
 
 def _run(df: DataFrame, keep: list[str], column: str, vocabulary: str, outputs: list[str], given_ids: bool) -> DataFrame:
@@ -144,15 +246,13 @@ def _run(df: DataFrame, keep: list[str], column: str, vocabulary: str, outputs:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         text = shared.value
         bpe = cached("bpe:" + hashlib.sha256(text.encode()).hexdigest(), lambda: ByteBPE(text))
-        for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                rows = []
-                for value in part.column(part.num_columns - 1).to_pylist():
-                    rows.append(_outputs(bpe, (value or []) if given_ids else bpe.encode(value), outputs))
-                cols = [part.column(i) for i in range(part.num_columns - 1)]
-                cols += [pa.array([r[o] for r in rows], ARROW[o]) for o in outputs]
-                yield pa.RecordBatch.from_arrays(cols, names=[*keep, *outputs])
+        if given_ids:
+            for batch in batches:
+                texts = [bpe.decode(ids or []) for ids in batch.column("__in").to_pylist()]
+                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.string())], names=[*keep, *outputs])
+            return
+        for part in slices(batches, "__in", BATCH_BYTES):
+            yield pa.RecordBatch.from_arrays([*part.columns[:-1], *_columns(bpe, part.column("__in"), outputs)], names=[*keep, *outputs])
 
     source = df.select(*keep, F.col(column).alias("__in"))
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:-1]]
@@ -175,6 +275,6 @@ def encode(docs: DataFrame, vocabulary: str, keep: list[str] | None = None, text
 
 
 def decode(encoded: DataFrame, vocabulary: str, keep: list[str] | None = None, ids: str = "ids",
-           outputs: list[str] | None = None) -> DataFrame:
+           out: str = "decoded") -> DataFrame:
     """``keep`` columns and the texts of an ids column; null ids decode to the empty text."""
-    return _run(encoded, keep or ["doc_id"], ids, vocabulary, outputs or ["decoded"], True)
+    return _run(encoded, keep or ["doc_id"], ids, vocabulary, [out], True)
