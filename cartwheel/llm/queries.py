@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, sharding, topk, toxicity
+from . import bpe, langid, sharding, substrings, topk, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -90,3 +90,26 @@ def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     network = langid.fit(docs.filter(id_remainder(3) != 1))
     return (langid.predict(docs, network)
             .select("doc_id", F.coalesce(id_remainder(3) == 1, F.lit(False)).alias("held_out"), "lang_pred", "score"))
+
+
+@query
+def op3_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words left after removing 13-word windows that start in an earlier document: counts and a digest."""
+    judged = substrings.remove_repeats(table(spark, sf_dir, "documents"), outputs=("kept",))
+    return judged.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+ORACLES["op3_substrings"] = r"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (
+  SELECT doc_id, unnest(range(1, len(w) - 11)) AS i, w FROM words WHERE len(w) >= 13),
+keyed AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS k FROM windows),
+firsts AS (SELECT k, min(doc_id) AS least FROM keyed GROUP BY k),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS p FROM keyed JOIN firsts USING (k) WHERE least < doc_id),
+marked AS (SELECT doc_id, list(p) AS ps, count(*) AS n FROM gone GROUP BY doc_id)
+SELECT words.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(array_to_string(list_filter(w, lambda x, j: ps IS NULL OR NOT list_contains(ps, j)), ' ')) AS kept_sha256
+FROM words LEFT JOIN marked USING (doc_id)
+"""

@@ -49,3 +49,14 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, limit: int = SLICE_BYTE
             stop = max(start + 1, int(np.searchsorted(end, base + limit, side="right")))
             yield batch.slice(start, stop - start)
             start = stop
+
+
+def release(spark) -> None:
+    """Lets Spark's cleaner drop the shuffle files of steps whose result has been written.
+
+    The cleaner acts on objects that the driver's collectors have found dead,
+    which on a driver with little to do happens every half hour.
+    """
+    import gc
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
