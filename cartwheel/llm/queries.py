@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, sharding, substrings, topk, toxicity
+from . import bpe, decontaminate, langid, sharding, substrings, topk, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -113,3 +113,10 @@ SELECT words.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS B
        sha256(array_to_string(list_filter(w, lambda x, j: ps IS NULL OR NOT list_contains(ps, j)), ' ')) AS kept_sha256
 FROM words LEFT JOIN marked USING (doc_id)
 """
+
+
+@query
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document and benchmark item found in it within the error budget: doc_id, item_id, errors, start, end."""
+    found = decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", F.inline("matches"))
