@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, langid, sharding, substrings, topk, toxicity
+from . import bpe, decontaminate, langid, neardup, sharding, substrings, topk, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -120,3 +120,9 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document and benchmark item found in it within the error budget: doc_id, item_id, errors, start, end."""
     found = decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", F.inline("matches"))
+
+
+@query
+def op6_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate class of every document: doc_id, class_id (the least id of the class)."""
+    return neardup.classes(table(spark, sf_dir, "documents"))

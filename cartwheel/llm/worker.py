@@ -35,8 +35,8 @@ def text_buffers(column) -> tuple[np.ndarray, np.ndarray]:
     return data[off[0]:off[-1]], off - off[0]
 
 
-def slices(batches: Iterator[pa.RecordBatch], text: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Zero-copy cuts of the batches with at most ``limit`` text bytes each (always at least one row)."""
+def slices(batches: Iterator[pa.RecordBatch], text: str, limit: int = SLICE_BYTES, rows: int = 1 << 14) -> Iterator[pa.RecordBatch]:
+    """Zero-copy cuts of the batches with at most ``limit`` text bytes and ``rows`` rows each (always at least one row)."""
     for batch in batches:
         n = batch.num_rows
         if n == 0:
@@ -47,6 +47,7 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, limit: int = SLICE_BYTE
         while start < n:
             base = end[start - 1] if start else 0
             stop = max(start + 1, int(np.searchsorted(end, base + limit, side="right")))
+            stop = min(stop, start + rows)
             yield batch.slice(start, stop - start)
             start = stop
 
