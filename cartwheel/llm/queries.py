@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, langid, neardup, sharding, substrings, topk, toxicity
+from . import bpe, decontaminate, langid, neardup, pseudonyms, sharding, substrings, topk, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -126,3 +126,15 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate class of every document: doc_id, class_id (the least id of the class)."""
     return neardup.classes(table(spark, sf_dir, "documents"))
+
+
+def pseudonym_key(spark: SparkSession) -> str:
+    """The key set in the session; a fixed demonstration key where none is set."""
+    return spark.conf.get("spark.cartwheel.pseudonymKey", "demonstration key, not a secret")
+
+
+@query
+def op2_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its personal data replaced: doc_id, n_found, text."""
+    done = pseudonyms.pseudonymise(table(spark, sf_dir, "documents"), pseudonym_key(spark))
+    return done.select("doc_id", F.size("found").cast("long").alias("n_found"), "text")
