@@ -37,14 +37,14 @@ from pyspark.sql import functions as F
 from ..session import cut_lineage
 from .components import components
 from .words import SpanHasher, Words, mix
-from .worker import release, slices, text_buffers
+from .worker import bounded_batches, release, slices, text_buffers
 
 SHINGLE = 5
 SIMILARITY = 0.8
 #: A pair of similarity 0.8 shares no band with probability (1 - 0.8^6)^26 = 0.0004.
 BANDS, ROWS = 26, 6
 REGISTERS = BANDS * ROWS
-SLICE_BYTES, SLICE_ROWS = 4 << 20, 8_192
+SLICE_BYTES, SLICE_ROWS = 1 << 20, 8_192
 #: Rounds of pivots go on while more pairs would be left than this many for each posting.
 LEFT_PAIRS = 2
 _GOLDEN = 0x9E3779B97F4A7C15
@@ -178,6 +178,7 @@ def _verify(pairs: DataFrame, bag: DataFrame, similarity: float) -> DataFrame:
 def classes(docs: DataFrame, similarity: float = SIMILARITY, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id and class_id of every row: the least id among the documents it is linked with, also over others."""
     spark = docs.sparkSession
+    bounded_batches(spark)
     given = docs.select(F.col(doc_id).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     signed = cut_lineage(_signed(given))
     # distinct texts, each by its least id; a text with very many copies meets as partial minima

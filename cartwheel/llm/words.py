@@ -39,7 +39,7 @@ def _powers(seed: int, n: int) -> tuple[np.ndarray, np.ndarray]:
         up[0] = down[0] = 1
         return np.multiply.accumulate(up), np.multiply.accumulate(down)
     key = f"powers:{seed}"
-    have = cached(key, lambda: [build(1 << 21)])
+    have = cached(key, lambda: [build((1 << 20) + 2)])
     if len(have[0][0]) < n:
         return build(n)  # a single very long text; not kept
     return have[0]

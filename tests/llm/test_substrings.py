@@ -35,9 +35,9 @@ def test_cover_aligns_every_pair_of_places():
     assert d == set(range(substrings.PERIOD))
 
 
-@pytest.mark.parametrize("slice_bytes,bucket_bytes", [(1 << 22, 1 << 24), (300, 500)])
-def test_random_texts_equal_brute_force(spark, slice_bytes, bucket_bytes, monkeypatch):
-    monkeypatch.setattr(substrings, "SLICE_BYTES", slice_bytes)
+@pytest.mark.parametrize("packed,bucket_bytes", [(500_000, 1 << 24), (300, 500)])
+def test_random_texts_equal_brute_force(spark, packed, bucket_bytes, monkeypatch):
+    monkeypatch.setattr(substrings, "PACKED_HASHES", packed)
     monkeypatch.setattr(substrings, "BUCKET_BYTES", bucket_bytes)
     rng = random.Random(7)
     passages = [[rng.choice("abcdefgh") + rng.choice("xyzé") for _ in range(rng.randrange(8, 40))] for _ in range(6)]
