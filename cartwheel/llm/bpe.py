@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .words import SpanHasher
-from .worker import cached, slices, text_buffers
+from .worker import bounded_batches, cached, slices, text_buffers
 
 # The pre-token pattern of byte-level BPE and the printable bytes that stand for themselves.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -241,6 +241,7 @@ def _columns(bpe: ByteBPE, column, outputs: list[str]) -> list[pa.Array]:
 
 
 def _run(df: DataFrame, keep: list[str], column: str, vocabulary: str, outputs: list[str], given_ids: bool) -> DataFrame:
+    bounded_batches(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast(vocabulary)  # one fixed vocabulary file
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .worker import cached, slices, text_buffers
+from .worker import bounded_batches, cached, slices, text_buffers
 
 #: Edits allowed for each byte of a normalised item.
 ERROR_RATE = 0.08
@@ -166,6 +166,7 @@ def find(docs: DataFrame, benchmark: DataFrame, keep: list[str] | None = None, t
     if out in keep:
         raise ValueError("the output's name is among the kept columns")
     spark = docs.sparkSession
+    bounded_batches(spark)
     items = benchmark.select(F.col(item_id).cast("long").alias("i"), F.col(item_text).alias("t")).filter("t is not null")
     size = items.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     blocks = max(1, -(-size // BLOCK_BYTES))

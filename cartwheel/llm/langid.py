@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .worker import slices, text_buffers
+from .worker import bounded_batches, slices, text_buffers
 
 #: Labelled texts the network is trained on, at most, over all languages.
 SAMPLE_TEXTS = 1_600
@@ -186,6 +186,7 @@ def has_letter(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", sample_texts: int = SAMPLE_TEXTS,
         seed: int = 0) -> Network:
     """Network of the languages found in ``lang``, from an equal bounded sample of each, drawn by a hash of the id."""
+    bounded_batches(docs.sparkSession)
     known = docs.select(F.col(doc_id).alias("__id"), F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"))
     known = known.filter(F.col("lang").isNotNull() & F.col("__id").isNotNull() & F.col("text").rlike(r"\p{L}"))
     counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -221,6 +222,7 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str =
 
 def predict(docs: DataFrame, network: Network, keep: list[str] | None = None, text: str = "text") -> DataFrame:
     """``keep`` columns (default doc_id), lang_pred and score of every whole text."""
+    bounded_batches(docs.sparkSession)
     keep = keep or ["doc_id"]
     names = [*keep, "lang_pred", "score"]
     if len(set(names)) < len(names):

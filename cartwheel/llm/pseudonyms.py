@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .worker import slices
+from .worker import bounded_batches, slices
 
 ROUNDS = 8
 #: Days that dates are permuted among: 1900-01-01 to 2099-12-31.
@@ -288,6 +288,7 @@ def pseudonymise(docs: DataFrame, key: str | bytes, keep: list[str] | None = Non
     Places are characters of the given text.  ``back`` turns pseudonyms back
     into the values.  ``found=None`` leaves that column out.
     """
+    bounded_batches(docs.sparkSession)
     keep, out = keep if keep is not None else ["doc_id"], out or text
     names = [*keep, out, *([found] if found else [])]
     if len(set(names)) < len(names):

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, langid, neardup, pseudonyms, sharding, substrings, topk, toxicity
+from . import bpe, decontaminate, langid, licenses, neardup, pseudonyms, sharding, substrings, topk, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -138,3 +138,10 @@ def op2_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its personal data replaced: doc_id, n_found, text."""
     done = pseudonyms.pseudonymise(table(spark, sf_dir, "documents"), pseudonym_key(spark))
     return done.select("doc_id", F.size("found").cast("long").alias("n_found"), "text")
+
+
+@query
+def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every paragraph with a licence notice: doc_id, paragraph, family, probability, template, share, confirmed."""
+    docs = table(spark, sf_dir, "documents")
+    return licenses.scan(docs, licenses.fit(docs))

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 from .words import SpanHasher, Words, spans, word_mask
-from .worker import slices, text_buffers
+from .worker import bounded_batches, slices, text_buffers
 
 #: Labelled rows that the classifier is fitted on, at most.
 SAMPLE_ROWS = 6_000
@@ -304,6 +304,7 @@ def _lexicon(counts: np.ndarray, totals: np.ndarray) -> Lexicon:
 def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic",
         sample_rows: int = SAMPLE_ROWS) -> Model:
     """Lexicon, trees and calibration from at most ``sample_rows`` labelled documents, drawn by a hash of the id."""
+    bounded_batches(docs.sparkSession)
     taught = (labels.filter(F.col(doc_id).isNotNull() & F.col(label).isin(0, 1)).groupBy(F.col(doc_id).alias("__id"))
               .agg(F.max(label).cast("int").alias("__y")).orderBy(F.xxhash64("__id"), "__id").limit(sample_rows))
     # at most sample_rows rows, so the broadcast is bounded
@@ -375,6 +376,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
 
 def score(docs: DataFrame, model: Model, keep: list[str] | None = None, text: str = "text", out: str = "score") -> DataFrame:
     """``keep`` columns (default doc_id) and the score of every whole text."""
+    bounded_batches(docs.sparkSession)
     keep = keep or ["doc_id"]
     if out in keep:
         raise ValueError("the output's name is among the kept columns")

@@ -52,6 +52,12 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, limit: int = SLICE_BYTE
             start = stop
 
 
+def bounded_batches(spark) -> None:
+    """Texts travel to Python in batches bounded by bytes, so that a worker's memory does not depend on their length."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+
+
 def release(spark) -> None:
     """Lets Spark's cleaner drop the shuffle files of steps whose result has been written.
 
