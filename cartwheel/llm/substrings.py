@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 from .words import Words, mix
-from .worker import bounded_batches, release, slices, text_buffers
+from .worker import bounded_batches, discard, release, slices, text_buffers
 
 #: Words of a window.
 WINDOW = 13
@@ -291,10 +291,13 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_id"
     schema = ", ".join([f"id {base.schema['id'].dataType.simpleString()}", "n_words long", "n_removed long", *[kinds[n] for n in names[3:]]])
     packed = cut_lineage(known.mapInArrow(find_anchors, SCHEMA))
     repeated = cut_lineage(_answers(packed, in_two_documents, buckets))
+    discard(packed)
     release(spark)
     packed = cut_lineage(known.join(repeated, ["id", "fp"]).select("id", "fp", "text", "places").mapInArrow(extend, SCHEMA))
     release(spark)
+    discard(repeated)
     removals = cut_lineage(_answers(packed, in_smaller_document, buckets))
+    discard(packed)
     release(spark)
     judged = base.join(removals, ["id", "fp"], "left").select("id", "text", "places")
     return judged.mapInArrow(finish, schema).withColumnRenamed("id", doc_id)

@@ -67,3 +67,13 @@ def release(spark) -> None:
     import gc
     gc.collect()
     spark.sparkContext._jvm.System.gc()
+
+
+def discard(*frames) -> None:
+    """Deletes the files of written intermediate tables that nothing reads any more."""
+    for df in frames:
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            if "/cartwheel-cut/" not in folder:
+                raise ValueError(f"{folder} is not an intermediate table")
+            path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
