@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from ..session import cut_lineage
 from .components import components
 from .words import SpanHasher, Words, mix
-from .worker import bounded_batches, release, slices, text_buffers
+from .worker import bounded_batches, discard, release, slices, text_buffers
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -237,3 +237,16 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, doc_id: str = "doc_
     by_text = texts.join(named, "node", "left").select("p", "q", F.coalesce("class", "node").alias("by_text"))
     answered = signed.select("id", "p", "q").join(by_text, ["p", "q"], "left")
     return answered.select(F.col("id").alias(doc_id), F.when(F.col("id").isNotNull(), F.coalesce("by_text", "id")).alias("class_id"))
+
+
+def without_duplicates(docs: DataFrame, similarity: float = SIMILARITY, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` with the least id of each class, with all their columns.
+
+    Of rows that share an id the one whose text has the least hash stays; rows
+    without an id stay.
+    """
+    columns = docs.columns
+    others = cut_lineage(classes(docs, similarity, doc_id, text).filter(F.col(doc_id) != F.col("class_id")).select(doc_id).distinct())
+    kept = docs.filter(F.col(doc_id).isNotNull()).join(others, doc_id, "left_anti").select(*columns)
+    one = kept.groupBy(F.col(doc_id).alias("__id")).agg(F.min_by(F.struct(*columns), F.xxhash64(text)).alias("__row")).select("__row.*")
+    return one.unionByName(docs.filter(F.col(doc_id).isNull()))
