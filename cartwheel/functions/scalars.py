@@ -97,7 +97,13 @@ def movement_reason(kind="kind", text="reason") -> Column:
             .otherwise(REASON_DEFAULT))
 
 
-def token_hash(token="token", secret: str | Column = "change-this-in-production") -> Column:
+def padded(key, width: int) -> Column:
+    """Decimal text of ``key``, filled with zeros to ``width``; longer keys keep all their digits."""
+    text = _c(key).cast("string")
+    return F.lpad(text, F.greatest(F.lit(width), F.length(text)), F.lit("0"))
+
+
+def token_hash(token, secret: str | Column) -> Column:
     """SHA-256 hex of ``token:secret``."""
     sec = secret if isinstance(secret, Column) else F.lit(secret)
     return F.sha2(F.concat_ws(":", _c(token), sec), 256)

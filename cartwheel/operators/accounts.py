@@ -59,8 +59,7 @@ def find_users(users: DataFrame, lookups: DataFrame, by: str = "email") -> DataF
         "user_id", "full_name", "email", "is_active", "is_admin")
 
 
-def start_sessions(logins: DataFrame, ttl_hours: int = SESSION_TTL_HOURS,
-                   secret: str = "change-this-in-production") -> DataFrame:
+def start_sessions(logins: DataFrame, secret: str, ttl_hours: int = SESSION_TTL_HOURS) -> DataFrame:
     """G3 + G6: session rows for logins (seq, user_id, at, token).
 
     expires_at = at + ttl; only the token's SHA-256 (with the secret) is kept.

@@ -44,11 +44,10 @@ ACCEPTED, REJECTED, UNDECIDED = "A", "R", "U"
 # (each fold rewrites the working ledger; folding every round costs more
 # than it saves).
 FOLD_EVERY = 3
-_VERBOSE = False
 
 
-def _empty_adjustments(spark):
-    return spark.createDataFrame([], "seq BIGINT, product_id BIGINT, delta INT, reason STRING")
+def _empty_adjustments(spark, product_type: str):
+    return spark.createDataFrame([], f"seq BIGINT, product_id {product_type}, delta INT, reason STRING")
 
 
 def _empty_cancels(spark):
@@ -57,7 +56,7 @@ def _empty_cancels(spark):
 
 def admit_commands(stock0: DataFrame, orders: DataFrame, order_lines: DataFrame,
                    cancels: DataFrame | None = None, adjustments: DataFrame | None = None,
-                   max_rounds: int = 100_000, rounds_out: list | None = None):
+                   rounds_out: list | None = None):
     """D2 (+D3 cancel, +D4 adjust) -> (decisions, movements, final_stock).
 
     stock0(product_id, stock); orders(seq, order_id, user_id);
@@ -75,7 +74,8 @@ def admit_commands(stock0: DataFrame, orders: DataFrame, order_lines: DataFrame,
     """
     spark = stock0.sparkSession
     cancels = cancels if cancels is not None else _empty_cancels(spark)
-    adjustments = adjustments if adjustments is not None else _empty_adjustments(spark)
+    adjustments = adjustments if adjustments is not None else _empty_adjustments(
+        spark, stock0.schema["product_id"].dataType.simpleString())
     known = stock0.select("product_id")
 
     # ---- static facts -------------------------------------------------
@@ -132,8 +132,6 @@ def admit_commands(stock0: DataFrame, orders: DataFrame, order_lines: DataFrame,
     work, work_open = ledger, opening
     while undecided > 0:
         rounds += 1
-        if rounds > max_rounds:
-            raise RuntimeError(f"admission did not settle in {max_rounds} rounds")
         rows = work.join(status.withColumnRenamed("cmd", "dep"), "dep", "left")
         st = F.coalesce(F.col("st"), F.lit(REJECTED))
         cmin = F.when(st == ACCEPTED, F.col("up") - F.col("need")).when(st == REJECTED, 0).otherwise(-F.col("need"))
@@ -155,9 +153,6 @@ def admit_commands(stock0: DataFrame, orders: DataFrame, order_lines: DataFrame,
                              .select("cmd", F.coalesce("_new", "st").alias("st")))
         undecided = status.filter(F.col("st") == UNDECIDED).count()
         log.info("admission round %d: %d undecided", rounds, undecided)
-        if _VERBOSE:
-            import time as _t
-            print(f"admission round {rounds}: {undecided} undecided at {_t.strftime('%H:%M:%S')}", flush=True)
         if undecided == 0 or rounds % FOLD_EVERY:
             continue
         # fold the decided head of every product into its opening stock
@@ -181,7 +176,7 @@ def admit_commands(stock0: DataFrame, orders: DataFrame, order_lines: DataFrame,
         "seq", F.lit("ORDER").alias("kind"), F.col("order_id").alias("ref_id"), "user_id",
         F.coalesce("static", F.when(F.col("st") == ACCEPTED, "PLACED").otherwise("INSUFFICIENT_STOCK")).alias("outcome"))
     ad = a.join(final_st, "seq", "left").select(
-        "seq", F.lit("ADJUST").alias("kind"), F.col("product_id").alias("ref_id"),
+        "seq", F.lit("ADJUST").alias("kind"), F.col("product_id").cast("bigint").alias("ref_id"),
         F.lit(None).cast("bigint").alias("user_id"),
         F.coalesce("static", F.when(F.col("st") == ACCEPTED, "APPLIED").otherwise("NEGATIVE_STOCK")).alias("outcome"))
     ord_st = final_st.select(F.col("seq").alias("o_seq"), F.col("st").alias("o_st"))

@@ -16,7 +16,9 @@ item exists before a SET iff such an ADD (or a stored quantity, or an
 earlier accepted SET) precedes it in its stretch.  Between reset points
 only ADDs remain, which is single-resource admission with a known opening
 room (s - q); that runs on ``admit_commands`` (exact, hot keys split).
-CLEAR is exploded to the products the user has touched before it.
+A CLEAR is never spread over products: the number of a user's CLEARs before
+a command (one running count for each user) is part of its segment's key.
+Stored cart lines without a command stay in the state unless a CLEAR follows.
 """
 
 from __future__ import annotations
@@ -33,16 +35,12 @@ def fold_cart(commands: DataFrame, users: DataFrame, products: DataFrame, cart_i
               carts: DataFrame | None = None):
     """-> (outcomes(seq, user_id, kind, product_id, outcome), cart_state(user_id, product_id, quantity))."""
     cmd = commands.select("seq", "user_id", "kind", "product_id", "quantity")
-    # CLEAR hits every product the user touched earlier (one row per pair)
-    touched = cmd.filter(F.col("kind") != "CLEAR").groupBy("user_id", "product_id").agg(F.min("seq").alias("_t0"))
-    if cart_items is not None:
-        held = cart_items.join(carts.select("cart_id", "user_id"), "cart_id").select(
-            "user_id", "product_id", F.lit(-1).cast("long").alias("_t0"))
-        touched = touched.unionByName(held).groupBy("user_id", "product_id").agg(F.min("_t0").alias("_t0"))
     clears = cmd.filter(F.col("kind") == "CLEAR").select("seq", "user_id")
-    clear_rows = clears.join(touched, "user_id").filter(F.col("_t0") < F.col("seq")).select(
-        "seq", "user_id", F.lit("CLEAR").alias("kind"), "product_id", F.lit(None).cast("int").alias("quantity"))
-    rows = cmd.filter(F.col("kind") != "CLEAR").unionByName(clear_rows)
+    epochs = clears.groupBy("user_id").agg(F.count(F.lit(1)).alias("_epochs"))
+    # epoch = the user's CLEARs before the command
+    cmd = cmd.withColumn("_clear", F.when(F.col("kind") == "CLEAR", 1).otherwise(0))
+    cmd = running_total(cut_lineage(cmd), ["user_id"], ["seq"], "_clear", "_epoch", inclusive=False)
+    rows = cmd.filter(F.col("kind") != "CLEAR").withColumn("_epoch", F.coalesce("_epoch", F.lit(0))).drop("_clear")
 
     u = users.select("user_id", F.col("is_active").alias("_u_active"))
     p = products.select("product_id", F.col("stock_qty").alias("s"), F.col("is_active").alias("_p_active"))
@@ -63,9 +61,11 @@ def fold_cart(commands: DataFrame, users: DataFrame, products: DataFrame, cart_i
               .when(kind == "SET", F.when(x.isNull() | (x <= 0), "INVALID_QUANTITY")
                     .when(s.isNull(), "NOT_FOUND")))
     rows = rows.withColumn("static", static)
-    key = ["user_id", "product_id"]
-    # stretch = number of REMOVE/CLEAR before (inclusive: a reset opens a new stretch)
-    rows = rows.withColumn("_reset", F.when(kind.isin("REMOVE", "CLEAR"), 1).otherwise(0))
+    key = ["user_id", "product_id", "_epoch"]
+    # stretch = number of REMOVEs of the epoch before (inclusive: a reset opens a new stretch)
+    rows = rows.withColumn("_reset", F.when(kind == "REMOVE", 1).otherwise(0))
+    # the stored quantity counts in the first epoch only
+    rows = rows.withColumn("q0", F.when(F.col("_epoch") == 0, F.col("q0")).otherwise(0))
     # an ADD that certainly fits an empty stretch proves existence for later SETs
     rows = rows.withColumn("_fits", F.when((kind == "ADD") & F.col("static").isNull(), 1).otherwise(0))
     # each prefix scan reads its input three times (counts, slices, rows):
@@ -82,14 +82,14 @@ def fold_cart(commands: DataFrame, users: DataFrame, products: DataFrame, cart_i
     rows = rows.withColumn("_set_ok", set_ok.cast("int"))
     # segment = stretch plus accepted SETs before (inclusive)
     rows = cut_lineage(running_total(rows, key + ["_stretch"], ["seq"], ["_set_ok"], ["_sets"], inclusive=True))
-    seg_key = F.xxhash64("user_id", "product_id", "_stretch", "_sets")
+    seg_key = F.concat_ws(":", "user_id", "product_id", "_epoch", "_stretch", "_sets")
     rows = rows.withColumn("seg", seg_key)
     # opening q of each segment: q0 (first stretch, no SET), 0 after a reset, x after an accepted SET
     opener = rows.filter((F.col("_set_ok") == 1) | (F.col("_reset") == 1)).select(
         "seg", F.when(F.col("_set_ok") == 1, x).otherwise(0).alias("_open_q"))
-    firsts = rows.select("seg", "user_id", "product_id", "_stretch", "_sets", "q0", "s").dropDuplicates(["seg"])
+    firsts = rows.select("seg", *key, "_stretch", "_sets", "q0", "s").distinct()
     segs = firsts.join(opener, "seg", "left").select(
-        "seg", "user_id", "product_id", "s",
+        "seg", *key, "s",
         F.coalesce("_open_q", F.when((F.col("_stretch") == 0) & (F.col("_sets") == 0), F.col("q0")),
                    F.lit(0)).alias("open_q"))
     adds = rows.filter((kind == "ADD") & F.col("static").isNull())
@@ -102,15 +102,14 @@ def fold_cart(commands: DataFrame, users: DataFrame, products: DataFrame, cart_i
     # quantity at the end of every segment
     gained = rows.filter(F.col("_add_ok")).groupBy("seg").agg(F.sum("quantity").alias("_gain"))
     seg_end = segs.join(gained, "seg", "left").select(
-        "seg", "user_id", "product_id", (F.col("open_q") + F.coalesce("_gain", F.lit(0))).alias("end_q"))
+        "seg", *key, (F.col("open_q") + F.coalesce("_gain", F.lit(0))).alias("end_q"))
     # REMOVE existed iff the segment before it ended with q > 0
-    seg_order = rows.groupBy("seg", "user_id", "product_id").agg(F.min("seq").alias("_first"))
+    seg_order = rows.groupBy("seg", *key).agg(F.min("seq").alias("_first"))
     seg_order = running_total(seg_order.withColumn("_w", F.struct("_first", "seg")), key, ["_first"], "_w", "_pw",
                               inclusive=False, agg="max").withColumn("_prev", F.col("_pw.seg"))
     outcome = (F.when(F.col("static").isNotNull(), F.col("static"))
                .when(kind == "ADD", F.when(F.col("_add_ok"), "ADDED").otherwise("INSUFFICIENT_STOCK"))
-               .when(kind == "SET", "UPDATED")
-               .when(kind == "CLEAR", "CLEARED"))
+               .when(kind == "SET", "UPDATED"))
     rem = (rows.filter(kind == "REMOVE").select("seq", "seg", "q0")
            .join(seg_order.select("seg", "_prev"), "seg")
            .join(seg_end.select(F.col("seg").alias("_prev"), "end_q"), "_prev", "left")
@@ -119,13 +118,19 @@ def fold_cart(commands: DataFrame, users: DataFrame, products: DataFrame, cart_i
     rem = rem.select("seq", F.when(F.col("_had"), "REMOVED").otherwise("NOT_FOUND").alias("_rem"))
     out = rows.join(rem, "seq", "left").select(
         "seq", "user_id", "kind", "product_id", F.coalesce(outcome, F.col("_rem")).alias("outcome"))
-    # CLEAR rows were exploded per product: one outcome row per CLEAR command
-    out = out.filter(F.col("kind") != "CLEAR").unionByName(
+    out = out.unionByName(
         clears.select("seq", "user_id", F.lit("CLEAR").alias("kind"), F.lit(None).cast("bigint").alias("product_id"),
                       F.lit("CLEARED").alias("outcome")))
-    last = seg_order.groupBy("user_id", "product_id").agg(F.max(F.struct("_first", "seg")).alias("_l"))
-    state = (last.select("user_id", "product_id", F.col("_l.seg").alias("seg"))
+    # what is left: the last segment of each line, if no CLEAR of the user came after it
+    last = seg_order.groupBy("user_id", "product_id").agg(F.max(F.struct("_first", "seg", "_epoch")).alias("_l"))
+    state = (last.select("user_id", "product_id", F.col("_l.seg").alias("seg"), F.col("_l._epoch").alias("_epoch"))
+             .join(epochs, "user_id", "left").filter(F.col("_epoch") == F.coalesce("_epochs", F.lit(0)))
              .join(seg_end.select("seg", "end_q"), "seg")
              .filter(F.col("end_q") > 0)
              .select("user_id", "product_id", F.col("end_q").cast("int").alias("quantity")))
+    if cart_items is not None:
+        # stored lines that no command touched stay, unless the user's cart was cleared
+        untouched = (q0.join(last.select("user_id", "product_id"), ["user_id", "product_id"], "left_anti")
+                     .join(epochs, "user_id", "left_anti").filter(F.col("q0") > 0))
+        state = state.unionByName(untouched.select("user_id", "product_id", F.col("q0").cast("int").alias("quantity")))
     return out, state

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import re
 from decimal import Decimal
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import classify_expr, rating_expr, stars_expr, stock_badge, strip_ws
-from ..plans.strategy import broadcast_if_bounded, running_total, top_k_per_group
+from ..plans.strategy import running_total, top_k_per_group
 from ..schemas import MONEY
 
 # Whitelisted sorts of the product search (unknown -> name_asc).
@@ -56,7 +57,9 @@ def search_products(products: DataFrame, categories: DataFrame, *, category_id:
     if category_id is not None:
         p = p.filter(F.col("category_id") == F.lit(category_id))
     if search:
-        p = p.filter(F.lower("product_name").like(f"%{search.lower()}%"))
+        # a backslash before an ordinary character stands for that character
+        pattern = re.sub(r"\\(.)", lambda m: m[0] if m[1] in "%_\\" else m[1], f"%{search.lower()}%", flags=re.DOTALL)
+        p = p.filter(F.lower("product_name").like(pattern))
     if in_stock_only:
         p = p.filter(F.col("stock_qty") > 0)
     # bounds arrive as floats; their shortest decimal form compares the same
@@ -126,8 +129,9 @@ def related_products(products: DataFrame, k: int = 3) -> DataFrame:
     its category in the default (name) order.
 
     Only the first k+1 of each category can be anybody's answer, so those
-    are found once (skew-safe two-stage top-k), paired with each product of
-    the category (at most k+1 partners each), self dropped, re-ranked.
+    are found once (skew-safe two-stage top-k) and paired with each product
+    of the category (at most k+1 partners each).  A partner's position is its
+    rank in the category, less one if the product itself stands before it.
     """
     active = products.filter(F.col("is_active")).select("product_id", "category_id", "product_name", "price")
     order = [F.col("product_name").asc(), F.col("product_id").asc()]
@@ -135,11 +139,11 @@ def related_products(products: DataFrame, k: int = 3) -> DataFrame:
     head = head.select("category_id", F.col("product_id").alias("related_id"),
                        F.col("product_name").alias("related_name"), F.col("price").alias("related_price"),
                        "head_rank")
-    pairs = (active.select("product_id", "category_id")
-             .join(broadcast_if_bounded(head), "category_id")
-             .filter(F.col("related_id") != F.col("product_id")))
-    w = Window.partitionBy("product_id").orderBy("head_rank")
-    return (pairs.withColumn("position", F.row_number().over(w)).filter(F.col("position") <= k)
+    own = head.select(F.col("related_id").alias("product_id"), F.col("head_rank").alias("own_rank"))
+    pairs = (active.select("product_id", "category_id").join(own, "product_id", "left")
+             .join(head, "category_id").filter(F.col("related_id") != F.col("product_id")))
+    before = F.when(F.col("own_rank") < F.col("head_rank"), 1).otherwise(0)
+    return (pairs.withColumn("position", (F.col("head_rank") - before).cast("int")).filter(F.col("position") <= k)
             .select("product_id", "position", "related_id", "related_name", "related_price"))
 
 

@@ -6,6 +6,12 @@ oracle query is ``WITH <these views> SELECT ...`` over the driver tables.
 
 from __future__ import annotations
 
+def padded_sql(key: str, width: int) -> str:
+    """Decimal text filled with zeros to ``width``; longer keys keep all their digits."""
+    text = f"CAST({key} AS VARCHAR)"
+    return f"lpad({text}, CAST(greatest({width}, length({text})) AS INTEGER), '0')"
+
+
 EPOCH_SQL = "TIMESTAMP '2024-01-01 00:00:00'"
 
 VIEWS = {
@@ -16,7 +22,7 @@ VIEWS = {
         FROM (SELECT DISTINCT p_type FROM part) t""",
     "shop_products": f"""
         SELECT p.p_partkey AS product_id, c.category_id,
-               upper(substr(p.p_type, 1, 4)) || '-' || lpad(CAST(p.p_partkey AS VARCHAR), 6, '0') AS sku,
+               upper(substr(p.p_type, 1, 4)) || '-' || {padded_sql('p.p_partkey', 6)} AS sku,
                p.p_name AS product_name, p.p_brand AS description,
                CAST(p.p_retailprice AS DECIMAL(12,2)) AS price,
                CAST((p.p_partkey * 37) % 101 AS INTEGER) AS stock_qty,
@@ -42,7 +48,8 @@ VIEWS = {
                CASE WHEN o_orderstatus <> 'O' THEN o_orderdate + INTERVAL 1 DAY ELSE o_orderdate END AS updated_at
         FROM orders""",
     "shop_order_items": f"""
-        SELECT l.l_orderkey * 1000000 + l.l_partkey AS order_item_id, l.l_orderkey AS order_id,
+        SELECT l.l_orderkey * 1048576 + row_number() OVER (PARTITION BY l.l_orderkey ORDER BY l.l_partkey)
+                   AS order_item_id, l.l_orderkey AS order_id,
                l.l_partkey AS product_id, l.quantity,
                CAST(p.p_retailprice AS DECIMAL(12,2)) AS unit_price,
                CAST(l.quantity * CAST(p.p_retailprice AS DECIMAL(12,2)) AS DECIMAL(12,2)) AS line_total,
@@ -54,7 +61,7 @@ VIEWS = {
         SELECT c_custkey AS cart_id, c_custkey AS user_id, {EPOCH_SQL} AS created_at, {EPOCH_SQL} AS updated_at
         FROM customer""",
     "shop_cart_items": f"""
-        SELECT user_id * 1000 + k AS cart_item_id, user_id AS cart_id, k AS product_id,
+        SELECT user_id * 2147483648 + k AS cart_item_id, user_id AS cart_id, k AS product_id,
                CAST(sum(event_id % 5 + 1) AS INTEGER) AS quantity,
                {EPOCH_SQL} AS created_at, {EPOCH_SQL} AS updated_at
         FROM (SELECT user_id, event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k

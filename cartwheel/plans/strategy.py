@@ -5,22 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Rows a side may have and still be broadcast by ``broadcast_if_bounded``.
-DEFAULT_BROADCAST_ROWS = 200_000
-
-
-def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` only after checking it has at most ``max_rows`` rows.
-
-    The check is a bounded job (``limit(max_rows + 1).count()``); above the
-    bound the frame is returned unchanged and the join stays a shuffle join
-    (AQE may still pick a broadcast from runtime statistics).
-    """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
-
-
 # Rows one task may scan for one key before the key is split into chunks.
 ROWS_PER_CHUNK = 1_000_000
 

@@ -13,6 +13,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.scalars import padded
 from ..schemas import MONEY
 from .tables import read_raw
 
@@ -25,14 +26,12 @@ SEQ_DAY = 1_000_000_000_000
 OPENING_FACTOR = 10
 
 
-_BOUND_CHECKED: dict[str, bool] = {}
-CATEGORY_BROADCAST_ROWS = 100_000
-
-
-def _categories_bounded(cats: DataFrame, key: str) -> bool:
-    if key not in _BOUND_CHECKED:
-        _BOUND_CHECKED[key] = cats.limit(CATEGORY_BROADCAST_ROWS + 1).count() <= CATEGORY_BROADCAST_ROWS
-    return _BOUND_CHECKED[key]
+# An order line's id = order key * LINES + its place among the order's
+# products; a cart line's id = user key * KEYS + product key.  Neither wraps
+# or repeats as long as an order has fewer than LINES products and product
+# keys stay below KEYS.
+LINES = 1 << 20
+KEYS = 1 << 31
 
 
 def epoch() -> F.Column:
@@ -67,15 +66,11 @@ class ShopViews:
     def products(self) -> DataFrame:
         part = self.raw("part")
         cats = self.categories.select("category_id", F.col("category_name").alias("p_type"))
-        # the category dimension is broadcast once its size has been checked
-        # for this dataset (one bounded count, remembered per folder)
-        if _categories_bounded(cats, self.sf_dir):
-            cats = F.broadcast(cats)
         key = F.col("p_partkey")
         return part.join(cats, "p_type").select(
             key.alias("product_id"), "category_id",
             F.concat(F.upper(F.substring("p_type", 1, 4)), F.lit("-"),
-                     F.lpad(key.cast("string"), 6, "0")).alias("sku"),
+                     padded(key, 6)).alias("sku"),
             F.col("p_name").alias("product_name"), F.col("p_brand").alias("description"),
             F.col("p_retailprice").cast(MONEY).alias("price"),
             ((key * 37) % 101).cast("int").alias("stock_qty"),
@@ -111,13 +106,16 @@ class ShopViews:
 
     @cached_property
     def order_items(self) -> DataFrame:
-        lines = (self.raw("lineitem")
+        # dealt by order: the sums and the places within an order share one shuffle
+        lines = (self.raw("lineitem").select("l_orderkey", "l_partkey", "l_quantity").repartition("l_orderkey")
                  .groupBy("l_orderkey", "l_partkey")
                  .agg(F.sum("l_quantity").cast("int").alias("quantity")))
+        place = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_partkey"))
+        lines = lines.withColumn("order_item_id", F.col("l_orderkey") * LINES + place)
         price = self.raw("part").select(F.col("p_partkey").alias("l_partkey"),
                                         F.col("p_retailprice").cast(MONEY).alias("unit_price"))
         return lines.join(price, "l_partkey").select(
-            (F.col("l_orderkey") * 1_000_000 + F.col("l_partkey")).alias("order_item_id"),
+            "order_item_id",
             F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("product_id"),
             "quantity", "unit_price",
             (F.col("quantity") * F.col("unit_price")).cast(MONEY).alias("line_total"),
@@ -134,7 +132,7 @@ class ShopViews:
         e = self.raw("events").filter(F.col("event_type") == "click")
         g = (e.select("user_id", json_k().alias("product_id"), ((F.col("event_id") % 5) + 1).alias("q"))
              .groupBy("user_id", "product_id").agg(F.sum("q").cast("int").alias("quantity")))
-        return g.select((F.col("user_id") * 1000 + F.col("product_id")).alias("cart_item_id"),
+        return g.select((F.col("user_id") * KEYS + F.col("product_id")).alias("cart_item_id"),
                         F.col("user_id").alias("cart_id"), "product_id", "quantity",
                         epoch().alias("created_at"), epoch().alias("updated_at"))
 

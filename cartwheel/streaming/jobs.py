@@ -79,6 +79,14 @@ def _session_fn(ttl_hours: int):
             return
         user, exp, rev, last, refused = state.get if state.exists else (None, None, None, None, 0)
         rows = pd.concat(list(batches)).sort_values("seq")
+        if not state.exists and not (rows["kind"] == "LOGIN").any():
+            # the session is closed and forgotten: its uses are all refused, told in a row of their own
+            late = int((rows["kind"] == "USE").sum())
+            if late:
+                yield pd.DataFrame([(sid, None, None, None, None, late, True)],
+                                   columns=["session_id", "user_id", "expires_at", "revoked_at", "last_used_at",
+                                            "refused_uses", "closed"])
+            return
         for r in rows.itertuples(index=False):
             if r.kind == "LOGIN":
                 user, exp = int(r.user_id), r.at + ttl
@@ -93,9 +101,14 @@ def _session_fn(ttl_hours: int):
                     refused += 1
         if exp is None:
             return
-        state.update((user, exp, rev, last, refused))
-        state.setTimeoutTimestamp(int(pd.Timestamp(exp).timestamp() * 1000))
-        yield pd.DataFrame([(sid, user, exp, rev, last, refused, False)],
+        until = int(pd.Timestamp(exp).timestamp() * 1000)
+        closed = until <= state.getCurrentWatermarkMs()  # no timeout can be set in the watermark's past
+        if not closed:
+            state.update((user, exp, rev, last, refused))
+            state.setTimeoutTimestamp(until)
+        elif state.exists:
+            state.remove()
+        yield pd.DataFrame([(sid, user, exp, rev, last, refused, closed)],
                            columns=["session_id", "user_id", "expires_at", "revoked_at", "last_used_at",
                                     "refused_uses", "closed"])
     return fn
@@ -106,6 +119,8 @@ def session_updates(event_stream: DataFrame, ttl_hours: int = 24, watermark: str
 
     A session's state lives until the watermark passes its expiry; then a
     final row with ``closed`` = true is emitted and the state is dropped.
+    Uses that arrive after that are refused: they come as a closed row without
+    a user, whose ``refused_uses`` add to the session's.
     """
     ev = event_stream.withColumn("_t", F.col("at").cast("timestamp")).withWatermark("_t", watermark)
     return ev.groupBy("session_id").applyInPandasWithState(

@@ -140,3 +140,27 @@ def test_touch_and_pseudonymise(spark):
     assert [r.updated_at for r in out] == [dt.datetime(2024, 1, 1), dt.datetime(2024, 3, 3)]
     h = pseudonymise_token(df, "token", "k", out="token_hash").orderBy("id").first()
     assert h.token_hash == hashlib.sha256(b"t1:k").hexdigest() and h.token == "t1"
+
+
+def test_keys_past_the_padding_keep_all_digits(spark):
+    from cartwheel.functions.scalars import padded
+    got = [r[0] for r in spark.createDataFrame([(7,), (1234567,), (1234568,)], "k BIGINT").select(padded("k", 6)).collect()]
+    assert got == ["000007", "1234567", "1234568"]
+
+
+def test_line_ids_do_not_collide(spark, tmp_path):
+    from cartwheel.sources.views import ShopViews
+    spark.createDataFrame([(1, 2_000_000, 1.0), (3, 1, 2.0), (1, 1, 3.0), (1, 2_000_000, 1.0)], "l_orderkey BIGINT, l_partkey BIGINT, l_quantity DOUBLE") \
+        .write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(1, 900.0), (2_000_000, 901.0)], "p_partkey BIGINT, p_retailprice DOUBLE").write.parquet(f"{tmp_path}/part.parquet")
+    rows = ShopViews(spark, str(tmp_path)).order_items.collect()
+    assert len(rows) == 3 and len({r.order_item_id for r in rows}) == 3
+
+
+def test_search_takes_a_backslash_as_an_escape(spark):
+    from cartwheel.operators.catalog import search_products
+    p = spark.createDataFrame([(1, "S1", "a b", "d", 5, 1, 1, 1, True), (2, "S2", "50% off", "d", 5, 1, 1, 1, True), (3, "S3", "505 off", "d", 5, 1, 1, 1, True)],
+                              "product_id BIGINT, sku STRING, product_name STRING, description STRING, price INT, stock_qty INT, reorder_level INT, category_id BIGINT, is_active BOOLEAN")
+    c = spark.createDataFrame([(1, "c")], "category_id BIGINT, category_name STRING")
+    ids = lambda s: sorted(r.product_id for r in search_products(p, c, search=s).collect())
+    assert ids("a\\ b") == [1] and ids("50\\%") == [2] and ids("50%") == [2, 3]

@@ -57,7 +57,7 @@ def test_session_stream_equals_batch(spark, tmp_path):
     for r in rows:
         last[r.session_id] = r
     logins = df.filter(F.col("kind") == "LOGIN").select("seq", "user_id", "at", F.lit("t").alias("token"))
-    want = {r.session_id: r for r in fold_sessions(start_sessions(logins), df.drop("_b")).collect()}
+    want = {r.session_id: r for r in fold_sessions(start_sessions(logins, "test secret"), df.drop("_b")).collect()}
     for sid, w in want.items():
         g = last[sid]
         assert (g.revoked_at, g.last_used_at, g.refused_uses) == (w.revoked_at, w.last_used_at, w.refused_uses)
@@ -112,3 +112,22 @@ def test_cart_stream_equals_batch(spark, tmp_path):
     want_out, want_state = fold_cart(df, u, p)
     assert got == {(r.user_id, r.product_id): r.quantity for r in want_state.collect()}
     assert outcomes == {r.seq: r.outcome for r in want_out.collect()}
+
+
+def test_session_stream_after_expiry(spark, tmp_path):
+    """A use behind the watermark and one after the state is gone: refused, and the stream goes on."""
+    t0, h = dt.datetime(2024, 1, 1), dt.timedelta(hours=1)
+    ev = [(1, 1, 7, "LOGIN", t0), (2, 2, 8, "LOGIN", t0 + 48 * h), (3, 1, 7, "USE", t0 + 49 * h), (4, 1, 7, "USE", t0 + 50 * h)]
+    schema = "seq LONG, session_id LONG, user_id LONG, kind STRING, at TIMESTAMP_NTZ"
+    df = spark.createDataFrame([e + (i,) for i, e in enumerate(ev)], schema + ", _b INT")
+    _write_parts(df, str(tmp_path / "in"), "_b", 4)
+    q = (session_updates(_stream_dir(spark, str(tmp_path / "in"), schema)).writeStream.format("memory").queryName("sess_late")
+         .outputMode("update").option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    rows = [r for r in spark.table("sess_late").collect() if r.session_id == 1]
+    known = [r for r in rows if r.user_id is not None]
+    late = sum(r.refused_uses for r in rows if r.user_id is None)
+    logins = df.filter(F.col("kind") == "LOGIN").select("seq", "user_id", "at", F.lit("t").alias("token"))
+    want = {r.session_id: r for r in fold_sessions(start_sessions(logins, "test secret"), df.drop("_b")).collect()}[1]
+    assert known[-1].closed and known[-1].refused_uses + late == want.refused_uses == 2
+    assert known[-1].last_used_at is None and known[-1].expires_at == want.expires_at
