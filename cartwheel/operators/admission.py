@@ -12,7 +12,8 @@ is a loop over commands; here it is a handful of Spark rounds:
   an undecided order: [0, +q]);
 * per-product running sums of the range ends give, before every row, a
   lower and an upper bound of the true stock (two-level prefix scan, hot
-  products split);
+  products split); as stock never falls below zero, the lower bound is the
+  running sum less its own running minimum where that is negative;
 * an undecided command whose lines all fit the lower bound is admitted,
   one with a line above the upper bound is refused;
 * repeat.  The earliest undecided command has exact bounds, so every
@@ -34,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import movement_reason
-from ..plans.strategy import running_total
+from ..plans.strategy import hot_keys, running_total
 from ..session import cut_lineage
 
 log = logging.getLogger(__name__)
@@ -127,6 +128,8 @@ def admit_commands(stock0: DataFrame, orders: DataFrame, order_lines: DataFrame,
     status = cut_lineage(status0)
     opening = stock0.select("product_id", F.col("stock").cast("long").alias("stock"))
 
+    # products with very many ledger rows, found once for all rounds
+    hot = cut_lineage(hot_keys(ledger, ["product_id"], "seq"))
     rounds = 0
     undecided = status.filter(F.col("st") == UNDECIDED).count()
     work, work_open = ledger, opening
@@ -137,10 +140,13 @@ def admit_commands(stock0: DataFrame, orders: DataFrame, order_lines: DataFrame,
         cmin = F.when(st == ACCEPTED, F.col("up") - F.col("need")).when(st == REJECTED, 0).otherwise(-F.col("need"))
         cmax = F.when(st == ACCEPTED, F.col("up") - F.col("need")).when(st == REJECTED, 0).otherwise(F.col("up"))
         rows = rows.withColumn("cmin", cmin).withColumn("cmax", cmax)
-        rows = running_total(rows, ["product_id"], ["seq"], ["cmin", "cmax"], ["_lo", "_hi"], inclusive=False)
+        rows = running_total(rows, ["product_id"], ["seq"], ["cmin", "cmax"], ["_lo", "_hi"], inclusive=False, hot=hot)
         rows = rows.join(work_open, "product_id").withColumn(
-            "lo", F.col("stock") + F.coalesce("_lo", F.lit(0))).withColumn(
-            "hi", F.col("stock") + F.coalesce("_hi", F.lit(0)))
+            "_sum", F.col("stock") + F.coalesce("_lo", F.lit(0))).withColumn(
+            "hi", F.col("stock") + F.coalesce("_hi", F.lit(0))).withColumn("_fall", -F.col("_sum"))
+        rows = cut_lineage(rows.select("product_id", "seq", "dep", "need", "st", "_sum", "_fall", "hi"))
+        rows = running_total(rows, ["product_id"], ["seq"], "_fall", "_deepest", agg="max", hot=hot)
+        rows = rows.withColumn("lo", F.col("_sum") + F.greatest("_deepest", F.lit(0)))
         # verdict of each undecided command over its need rows
         own = rows.filter((F.col("st") == UNDECIDED) & (F.col("need") > 0) & (F.col("dep") == F.col("seq")))
         verdict = own.groupBy("dep").agg(

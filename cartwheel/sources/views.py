@@ -182,6 +182,15 @@ class ShopViews:
         return o.select(((day + 1) * SEQ_DAY + F.col("o_orderkey")).alias("seq"),
                         F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("user_id"))
 
+    @cached_property
+    def adjustments(self) -> DataFrame:
+        """Manual stock corrections from error events, spread over the days of the orders."""
+        e = self.raw("events").filter(F.col("event_type") == "error")
+        k = F.col("event_id")
+        reason = F.when(k % 3 == 0, F.lit("  ")).when(k % 3 == 1, F.concat(F.lit(" recount "), (k % 5).cast("string")))
+        return e.select(((F.lit(8100) + k % 2300) * SEQ_DAY + SEQ_DAY // 2 + k).alias("seq"), (json_k() * 3).alias("product_id"),
+                        (k % 7 - 4).cast("int").alias("delta"), reason.alias("reason"))
+
     @cached_property
     def opening_stock(self) -> DataFrame:
         return self.products.select("product_id", (F.col("stock_qty") * OPENING_FACTOR).alias("stock"))
