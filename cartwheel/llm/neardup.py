@@ -14,9 +14,10 @@ which costs little more than one point for each shingle.
 Registers are banded; texts that share a band are candidates.  In each band
 bucket a hashed pivot is compared with the others, all verified exactly on
 the shingle counts; buckets whose texts are already linked are done, and a
-few such rounds leave little.  Of the rest every pair of different classes
-is verified, so no candidate link between different texts is lost.  Classes
-are the connected components of the links.
+few such rounds leave little.  Of the rest every text is compared exactly
+with the other classes of its buckets (large ones in blocks), so no candidate
+link between different texts is lost.  Classes are the connected components
+of the links.
 
 Defined cases: a text of fewer than ``SHINGLE`` words is one shingle; texts
 without words are alone, also among themselves; equal texts are one class;
@@ -28,14 +29,15 @@ result; other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .components import components
+from .components import components, partial_labels
 from .words import SpanHasher, Words, mix
 from .worker import bounded_batches, discard, release, slices, text_buffers
 
@@ -45,8 +47,11 @@ SIMILARITY = 0.8
 BANDS, ROWS = 26, 6
 REGISTERS = BANDS * ROWS
 SLICE_BYTES, SLICE_ROWS = 1 << 20, 8_192
-#: Rounds of pivots go on while more pairs would be left than this many for each posting.
-LEFT_PAIRS = 2
+#: Rounds of pivots go on while more pairs would be left than this many for each posting
+#: and the last round has linked at least this share of its pairs.
+LEFT_PAIRS, PRODUCTIVE = 2, 0.1
+#: A class of at most so many texts is compared pair by pair; of a larger one, texts of a block.
+FEW, BLOCK = 8, 512
 _GOLDEN = 0x9E3779B97F4A7C15
 
 
@@ -133,7 +138,7 @@ def overlap(a: bytes, b: bytes) -> float:
 
 
 def _signed(docs: DataFrame) -> DataFrame:
-    """id, fingerprint of the text (two longs, null without words) and band hashes of every row."""
+    """id, fingerprint of the text (two longs, null without words), number of shingles and band hashes of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text", SLICE_BYTES, SLICE_ROWS):
@@ -144,9 +149,10 @@ def _signed(docs: DataFrame) -> DataFrame:
             hashed = band_hashes(registers).view(np.int64)
             bands = pa.ListArray.from_arrays(pa.array(np.arange(len(hashed) + 1) * BANDS, pa.int32()), pa.array(hashed.reshape(-1)))
             prints = [pa.array(SpanHasher(data, seed)(offsets[:-1], offsets[1:]).view(np.int64), mask=~some) for seed in (6, 7)]
-            yield pa.RecordBatch.from_arrays([part.column("id"), *prints, bands], names=["id", "p", "q", "bands"])
+            size = pa.array(np.maximum(words.count - SHINGLE + 1, 1))
+            yield pa.RecordBatch.from_arrays([part.column("id"), *prints, size, bands], names=["id", "p", "q", "size", "bands"])
 
-    return docs.mapInArrow(run, "id long, p long, q long, bands array<long>")
+    return docs.mapInArrow(run, "id long, p long, q long, size long, bands array<long>")
 
 
 def _bag_table(docs: DataFrame) -> DataFrame:
@@ -175,6 +181,72 @@ def _verify(pairs: DataFrame, bag: DataFrame, similarity: float) -> DataFrame:
     return with_y.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
+def _sizes_fit(similarity: float) -> Column:
+    """Bags of too different sizes cannot be similar enough."""
+    return F.least("size", "so") + 1e-6 >= F.greatest("size", "so") * similarity
+
+
+def _linked(members: pa.Table, asks: pa.Table, similarity: float) -> pa.Table:
+    """For every asking bag one member that is similar enough, if there is one; exact, by postings of the members' shingles."""
+    found = []
+    if members.num_rows and asks.num_rows:
+        unpacked = [_unpack(x) for x in members["bag"].to_pylist()]
+        owner = np.repeat(np.arange(len(unpacked)), [len(h) for h, _ in unpacked])
+        h, c = np.concatenate([h for h, _ in unpacked]), np.concatenate([c for _, c in unpacked]).astype(np.int64)
+        order = np.argsort(h, kind="stable")
+        h, c, owner = h[order], c[order], owner[order]
+        total = np.bincount(owner, weights=c, minlength=len(unpacked))
+        nodes = members["node"].to_pylist()
+        for node, packed in zip(asks["node"].to_pylist(), asks["bag"].to_pylist()):
+            g, w = _unpack(packed)
+            low, high = np.searchsorted(h, g), np.searchsorted(h, g, side="right")
+            n = high - low
+            at = np.repeat(low - np.cumsum(n) + n, n) + np.arange(n.sum())
+            both = np.bincount(owner[at], weights=np.minimum(c[at], np.repeat(w, n)), minlength=len(unpacked))
+            near = np.flatnonzero(both / (total + w.sum(dtype=np.int64) - both) >= similarity)
+            if len(near):
+                found.append((node, min(nodes[k] for k in near)))
+    return pa.table([pa.array([f[i] for f in found], pa.int64()) for i in (0, 1)], names=["a", "b"])
+
+
+def _rest(rows: DataFrame, labelled: DataFrame, bag: DataFrame, similarity: float) -> DataFrame:
+    """Links between the different classes that share a bucket.
+
+    A text outside its bucket's largest class asks that class, and texts
+    outside it ask each other.  A class of a few texts answers pair by pair.
+    A larger one is asked as a whole, in blocks: its texts and the asking
+    ones are dealt over a grid of blocks of about ``BLOCK`` each, and a block
+    gives one link for each asking text, so a dense group of near copies
+    costs no row for each pair.
+    """
+    outside = cut_lineage(rows.filter("class <> main"))
+    members = labelled.select("node", "class").distinct()
+    asks = outside.select("node", F.col("main").alias("class")).distinct()
+    count = cut_lineage(members.groupBy("class").agg(F.count(F.lit(1)).alias("m")).join(
+        asks.groupBy("class").agg(F.count(F.lit(1)).alias("q")), "class"))
+    pair = lambda x, y: [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
+    few = (asks.withColumnRenamed("node", "o").join(count.filter(F.col("m") <= FEW), "class")
+           .join(members, "class").select(*pair("node", "o")))
+    other = outside.select("band", F.col("node").alias("o"), F.col("class").alias("co"), F.col("size").alias("so"))
+    among = outside.join(other, "band").filter((F.col("class") < F.col("co")) & _sizes_fit(similarity)).select(*pair("node", "o"))
+    by_pair = _verify(cut_lineage(few.unionByName(among).distinct()), bag, similarity)
+
+    grid = count.filter(F.col("m") > FEW).select("class", F.ceil(F.col("m") / BLOCK).alias("pm"), F.ceil(F.col("q") / BLOCK).alias("pq"))
+    every = lambda n: F.explode(F.sequence(F.lit(0), n.cast("int") - 1))
+    packed = bag.select(F.col("id").alias("node"), "bag")
+    held = (members.join(grid, "class").withColumn("i", F.pmod(F.xxhash64("node"), F.col("pm")).cast("int"))
+            .withColumn("j", every(F.col("pq"))).join(packed, "node").select("class", "i", "j", "node", "bag"))
+    asking = (asks.join(grid, "class").withColumn("j", F.pmod(F.xxhash64("node"), F.col("pq")).cast("int"))
+              .withColumn("i", every(F.col("pm"))).join(packed, "node")
+              .select(*[F.col(c).alias(c) for c in ("class", "i", "j", "node", "bag")]))  # columns of their own, apart from those of held
+
+    def block(members: pa.Table, asks: pa.Table) -> pa.Table:
+        return _linked(members, asks, similarity)
+
+    by_block = held.groupBy("class", "i", "j").cogroup(asking.groupBy("class", "i", "j")).applyInArrow(block, "a long, b long")
+    return cut_lineage(by_pair.unionByName(by_block))
+
+
 def classes(docs: DataFrame, similarity: float = SIMILARITY, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id and class_id of every row: the least id among the documents it is linked with, also over others."""
     spark = docs.sparkSession
@@ -183,58 +255,57 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, doc_id: str = "doc_
     signed = cut_lineage(_signed(given))
     # distinct texts, each by its least id; a text with very many copies meets as partial minima
     texts = cut_lineage(signed.filter("id is not null and p is not null").groupBy("p", "q")
-                        .agg(F.min("id").alias("node"), F.any_value("bands").alias("bands")))
+                        .agg(F.min("id").alias("node"), F.any_value("size").alias("size"), F.any_value("bands").alias("bands")))
     # ids with several texts link these texts
     several = (signed.filter("id is not null and p is not null").groupBy("id")
                .agg(F.min(F.struct("p", "q")).alias("lo"), F.max(F.struct("p", "q")).alias("hi")).filter("lo <> hi").select("id"))
     copies = cut_lineage(signed.join(several, "id").join(texts.select("p", "q", "node"), ["p", "q"])
                          .select(F.col("id").alias("a"), F.col("node").alias("b")).distinct())
-    posting = texts.select("node", F.explode("bands").alias("band"))
+    posting = texts.select("node", "size", F.explode("bands").alias("band"))
     shared = cut_lineage(posting.groupBy("band").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo <> hi").select("band"))
     posting = cut_lineage(posting.join(shared, "band").distinct())
     release(spark)
     candidate = posting.select(F.col("node").alias("id")).distinct()
-    bag = cut_lineage(_bag_table(given.join(candidate, "id", "left_semi")).distinct())
+    wanted = given.join(candidate, "id", "left_semi").groupBy("id", F.xxhash64("text")).agg(F.first("text").alias("text"))
+    bag = cut_lineage(_bag_table(wanted.select("id", "text")))
     release(spark)
 
-    links, tried, salt, linked_before = copies, None, 0, -1
+    links, tried, salt, more = [copies], [], 0, True
     labelled = posting.withColumn("class", F.col("node"))
     while True:
-        # buckets with more than one class, and the pairs of different classes in them
-        per = labelled.groupBy("band", "class").agg(F.count(F.lit(1)).alias("n"))
-        sums = per.groupBy("band").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("s"), F.count(F.lit(1)).alias("classes"),
-                                       F.max_by("class", F.struct("n", "class")).alias("main"))
-        open_bands = cut_lineage(sums.filter("classes > 1"))
-        size = open_bands.agg(F.sum("n").alias("n"), F.sum((F.col("n") * F.col("n") - F.col("s")) / 2).alias("pairs"), F.count(F.lit(1)).alias("bands")).first()
-        if not size["bands"]:
+        # buckets with more than one class: their largest class, a hashed pivot, and how many pairs of different classes they hold
+        draw = F.min(F.struct(F.xxhash64("node", F.lit(salt)).alias("h"), "node", "class", "size")).alias("pivot")
+        per = labelled.groupBy("band", "class").agg(F.count(F.lit(1)).alias("n"), draw)
+        buckets = cut_lineage(per.groupBy("band").agg(
+            F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("s"), F.count(F.lit(1)).alias("classes"),
+            F.max_by("class", F.struct("n", "class")).alias("main"), F.min("pivot").alias("pivot")).filter("classes > 1"))
+        size = buckets.agg(F.sum("n").alias("n"), F.sum((F.col("n") * F.col("n") - F.col("s")) / 2).alias("pairs")).first()
+        if not size["n"]:
             break
-        rows = cut_lineage(labelled.join(open_bands.select("band", "main"), "band"))
-        last = size["pairs"] <= LEFT_PAIRS * size["n"] or linked_before == 0
+        last = size["pairs"] <= LEFT_PAIRS * size["n"] or not more
+        rows = labelled.join(buckets.select("band", "main", F.col("pivot.node").alias("o"), F.col("pivot.class").alias("co"),
+                                             F.col("pivot.size").alias("so")), "band")
         if last:
-            # every pair of different classes has a side outside the bucket's largest class
-            fewer = rows.filter("class <> main").select("band", F.col("node").alias("o"), F.col("class").alias("co"))
-            pairs = rows.join(fewer, "band").filter("class <> co").select(F.least("node", "o").alias("a"), F.greatest("node", "o").alias("b")).distinct()
-        else:
-            pivot = rows.groupBy("band").agg(F.min(F.struct(F.xxhash64("node", F.lit(salt)), F.col("node"), F.col("class"))).alias("pivot"))
-            pivot = cut_lineage(pivot.select("band", F.col("pivot.node").alias("o"), F.col("pivot.class").alias("co")))
-            pairs = (rows.join(pivot, "band").filter("class <> co")
-                     .select(F.least("node", "o").alias("a"), F.greatest("node", "o").alias("b")).distinct())
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
+            break
+        wide = rows.filter((F.col("class") != F.col("co")) & _sizes_fit(similarity))
+        pairs = wide.select(F.least("node", "o").alias("a"), F.greatest("node", "o").alias("b")).distinct()
+        for t in tried:
+            pairs = pairs.join(t, ["a", "b"], "left_anti")
         pairs = cut_lineage(pairs)
         found = cut_lineage(_verify(pairs, bag, similarity))
+        discard(buckets)
         release(spark)
-        links = links.unionByName(found)
-        linked_before = found.count()
-        if last:
-            break
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        named = components(links)
-        labelled = posting.join(named, "node", "left").select("band", "node", F.coalesce("class", "node").alias("class"))
+        links.append(found)
+        tried.append(pairs)
+        more = found.count() >= PRODUCTIVE * pairs.count()
+        labelled = posting.join(partial_labels(reduce(DataFrame.unionByName, links)), "node", "left").select(
+            "band", "node", "size", F.coalesce("class", "node").alias("class"))
         salt += 1
-    named = components(links)
-    # texts under one id share its node; rows find their class through their text, or their id where that was linked
-    by_text = texts.join(named, "node", "left").select("p", "q", F.coalesce("class", "node").alias("by_text"))
+    if size["n"]:
+        links.append(_rest(rows.select("band", "node", "class", "size", "main"), labelled, bag, similarity))
+    named = components(reduce(DataFrame.unionByName, links))
+    discard(bag, posting, shared)
+    by_text = cut_lineage(texts.join(named, "node", "left").select("p", "q", F.coalesce("class", "node").alias("by_text")))
     answered = signed.select("id", "p", "q").join(by_text, ["p", "q"], "left")
     return answered.select(F.col("id").alias(doc_id), F.when(F.col("id").isNotNull(), F.coalesce("by_text", "id")).alias("class_id"))
 

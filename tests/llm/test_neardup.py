@@ -104,9 +104,10 @@ def near(rng, words, edits):
     return w
 
 
-@pytest.mark.parametrize("left", [neardup.LEFT_PAIRS, 0])
-def test_classes_equal_brute_force(spark, left, monkeypatch):
-    monkeypatch.setattr(neardup, "LEFT_PAIRS", left)
+@pytest.mark.parametrize("left,few,block", [(neardup.LEFT_PAIRS, neardup.FEW, neardup.BLOCK), (0, 0, 3)])
+def test_classes_equal_brute_force(spark, left, few, block, monkeypatch):
+    for name, value in (("LEFT_PAIRS", left), ("FEW", few), ("BLOCK", block)):
+        monkeypatch.setattr(neardup, name, value)
     rng = random.Random(11)
     rows = []
     for _ in range(8):
