@@ -269,8 +269,11 @@ def _regress(x: np.ndarray, y: np.ndarray, classes: int, steps: int = 150, rate:
 
 def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", seed: int = 0) -> Model:
     """Model with unknown paragraphs from at most ``SAMPLE_DOCUMENTS`` documents, drawn by a hash of the id."""
-    drawn = (docs.select(F.col(doc_id).alias("i"), F.col(text).alias("t")).filter("t is not null")
-             .orderBy(F.xxhash64("i"), "t").limit(SAMPLE_DOCUMENTS))
+    known = docs.select(F.col(doc_id).alias("i"), F.col(text).alias("t")).filter("t is not null")
+    # about twice the sample by a hash, so that few texts meet where it is cut to size
+    share = min(1.0, 2 * SAMPLE_DOCUMENTS / max(1, docs.count()))
+    drawn = (known.withColumn("h", F.pmod(F.xxhash64("i", "t"), F.lit(2 ** 31))).filter(F.col("h") <= int(2 ** 31 * share))
+             .orderBy("h", "i").limit(SAMPLE_DOCUMENTS))
     cut = drawn.select(F.explode(F.slice(F.split("t", BREAK), 1, 40)).alias("p")).filter("p <> ''").orderBy(F.xxhash64("p"), "p").limit(SAMPLE_PARAGRAPHS)
     return train([r["p"] for r in cut.collect()], seed)
 
