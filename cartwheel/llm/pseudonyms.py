@@ -12,7 +12,10 @@ and the key's owner can turn pseudonyms back.
 
 Defined cases: null text stays null, empty text stays empty; of overlapping
 finds the earlier, then the longer one counts; a value that fails its check
-is left alone; repeated rows are answered alike; an empty table gives an
+is left alone; numbers side by side are told apart by shape (cards in one
+group or the usual groups before others, phones of countries with one length
+before longer ones, no phone runs into another value); of a date-time the
+date is replaced; repeated rows are answered alike; an empty table gives an
 empty result; kept columns may have any names but the outputs'.
 """
 
@@ -211,21 +214,118 @@ def _compile(pattern: str) -> re.Pattern:
 
 #: Patterns of numbers, tried in a run of digits and signs; the context before and after decides too.
 NUMBERS: list[tuple[str, re.Pattern, Callable]] = [
-    ("date", _compile(r"(?<![\w./-])\d{4}-\d{2}-\d{2}(?![\w-])"), iso_date),
+    ("date", _compile(r"(?<![\w./-])\d{4}-\d{2}-\d{2}(?:(?![\w-])|(?=[Tt]\d\d))"), iso_date),
     ("date", _compile(r"(?<![\w./-])\d{1,2}([./-])\d{1,2}\1\d{4}(?!\w)(?![./-]\d)"), dotted_date),
     ("ipv4", _compile(r"(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?!\w)(?!\.\d)"), ipv4),
     ("ssn", _compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"), ssn),
-    ("card", _compile(r"(?<![\w-])\d(?:[ -]?\d){12,18}(?![\w-])"), card),
-    ("phone", _compile(r"(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?!\w)"), phone),
     ("phone", _compile(r"(?<![\w+(])\(\d{3}\)[ .-]?\d{3}[ .-]?\d{4}(?!\w)"), phone),
     ("phone", _compile(r"(?<![\w+(.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\w-])"), phone),
 ]
+GROUP = _compile(r"\d+")
+CARD = _compile(r"(?<![\w-])\d(?:[ -]?\d){12,18}(?![\w-])")
+#: Digit groups that cards are usually written in, besides one group.
+CARD_GROUPS = {(4, 4, 4, 4), (4, 6, 5), (4, 6, 4), (4, 4, 4, 4, 3)}
+#: First digits and lengths of issued cards; in other groups next to other numbers only these are taken.
+ISSUED = [(r"4", (13, 16, 19)), (r"5[1-5]|222[1-9]|22[3-9]|2[3-6]|27[01]|2720", (16,)), (r"3[47]", (15,)), (r"30[0-5]|3[689]", (14, 16, 19)),
+          (r"35(?:2[89]|[3-8])", (16, 17, 18, 19)), (r"5[06-9]|6", (13, 14, 15, 16, 17, 18, 19))]
+ISSUED = [(_compile(p), n) for p, n in ISSUED]
+#: A phone with its country code, as far as digit groups go; where it ends is chosen among the groups' ends.
+PHONE = _compile(r"(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?(\d++(?:[ .-]\d++)*+)")
+#: Digits of all phones, code included, of countries where they have one length.
+PHONE_DIGITS = {"1": 11, "7": 11, "33": 11, "34": 11, "41": 11, "45": 10, "47": 10, "48": 11, "91": 12}
 RUN = _compile(r"[(+]*\d[\d ()+./-]{5,}")
 EMAIL = _compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]*[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}")
 IBAN = _compile(r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]){11,30}(?!\w)")
+IBAN_LENGTHS = {c: n for n, cs in {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA",
+    23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM",
+    28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}.items() for c in cs.split()}
 SECRET = _compile(r"(?i:\b(?:token|secret|api[_-]?key|access[_-]?key|password|passwd)\b\s*[:=]\s*[\"']?)([A-Za-z0-9_\-]{16,})")
 
 
+def _cards(text: str, start: int, end: int, taken: list[tuple[int, int]], usual: bool) -> Iterator[tuple[int, int]]:
+    """Places of valid cards between digit-group bounds, from the left, clear of ``taken``: of the usual shapes, or of the others."""
+    groups = [g.span() for g in GROUP.finditer(text, start, end)]
+    last = start
+    for i, (a, _) in enumerate(groups):
+        if a < last or a and (text[a - 1] == "-" or text[a - 1] == "_" or text[a - 1].isascii() and text[a - 1].isalnum()):
+            continue
+        ends, digits, sizes = [], "", ()
+        for k in range(i, len(groups)):
+            low, high = groups[k]
+            if k > i and (low - groups[k - 1][1] != 1 or text[low - 1] not in " -") or len(digits) + high - low > 19:
+                break
+            digits, sizes = digits + text[low:high], (*sizes, high - low)
+            if len(digits) < 13 or high < len(text) and (text[high] in "-_" or text[high].isascii() and text[high].isalnum()):
+                continue
+            marks = {text[g[1]] for g in groups[i:k]}
+            if usual and (k == i or sizes in CARD_GROUPS and len(marks) == 1):
+                ends.append((high, digits))
+            elif not usual and any(len(digits) in n and p.match(digits) for p, n in ISSUED):
+                ends.insert(0, (high, digits))  # the longest first
+        for high, digits in ends:
+            if luhn_digit(digits[:-1]) == digits[-1] and len(set(digits)) > 1 and not any(a < z and b < high for b, z in taken):
+                yield a, high
+                last = high
+                break
+
+
+def _phone_end(text: str, m: re.Match, starts: list[int]) -> int | None:
+    """Where the phone ends: before the first of the ``starts`` of other values that leaves it long enough."""
+    ends = {}
+    for g in GROUP.finditer(text, m.start(1), m.end(1)):
+        n = len(_digits(text[m.start():g.end()]))
+        follows = text[g.end():g.end() + 1]
+        if 8 <= n <= 15 and len(g[0]) > 1 and not (follows == "_" or follows.isascii() and follows.isalnum()):
+            ends[n] = g.end()
+    digits = _digits(m[0])
+    size = next((n for code, n in PHONE_DIGITS.items() if digits.startswith(code)), None)
+    for limit in [*sorted(s for s in starts if m.start() < s < m.end()), m.end()]:
+        fit = [n for n, end in ends.items() if end <= limit]
+        if fit:
+            return ends[size if size in fit else max(fit)]
+    return None
+
+
+def _numbers(f: Feistel, text: str, start: int, end: int, by: int) -> list[tuple[int, int, str, str]]:
+    """(start, -end, kind, replacement) of the validated numbers in a run of digits and signs."""
+    found, stop = [], min(len(text), end + 3)
+
+    def offer(kind, start, end, make):
+        new = make(f, text[start:end], by)
+        if new is not None:
+            found.append((start, -end, kind, new))
+
+    for kind, pattern, make in NUMBERS:
+        for m in pattern.finditer(text, start, stop):
+            offer(kind, *m.span(), make)
+    for a, z in _cards(text, start, end, [], True):
+        offer("card", a, z, card)
+    strong = [n[0] for n in found]
+    for m in PHONE.finditer(text, start, stop):
+        z = _phone_end(text, m, strong)
+        if z is not None:
+            offer("phone", m.start(), z, phone)
+    for a, z in _cards(text, start, end, [(n[0], -n[1]) for n in found], False):
+        offer("card", a, z, card)
+    taken = [(n[0], -n[1]) for n in found]
+    for m in CARD.finditer(text, start, stop):
+        if not any(m.start() < z and a < m.end() for a, z in taken):
+            offer("card", *m.span(), card)
+    return found
+
+
+def _beginnings(s: str) -> Iterator[str]:
+    """The blanks may join words that follow an IBAN: the beginning of its country's length, then all from the longest."""
+    size = IBAN_LENGTHS.get(s[:2], len(s) + 1)
+    m = re.match(rf"(?:[A-Z0-9] ?){{{size - 1}}}[A-Z0-9](?!\w)", s)
+    if m:
+        yield m[0]
+    while len(s) >= 15:
+        yield s
+        s = s[:-1].rstrip()
+
+
 def findings(f: Feistel, text: str, by: int = 1) -> list[tuple[int, int, str, str]]:
     """(start, end, kind, replacement) of the validated values, without overlaps, in order."""
     found = []
@@ -236,9 +336,7 @@ def findings(f: Feistel, text: str, by: int = 1) -> list[tuple[int, int, str, st
             found.append((start, -end, kind, new))
 
     for run in RUN.finditer(text):
-        for kind, pattern, make in NUMBERS:
-            for m in pattern.finditer(text, run.start(), min(len(text), run.end() + 2)):
-                offer(kind, m.start(), m.end(), make)
+        found += _numbers(f, text, *run.span(), by)
     at = text.find("@")
     while at >= 0:
         low = at
@@ -248,13 +346,15 @@ def findings(f: Feistel, text: str, by: int = 1) -> list[tuple[int, int, str, st
         if m:
             offer("email", m.start(), m.end(), email)
         at = text.find("@", at + 1)
-    for m in IBAN.finditer(text):
-        s = m[0]  # the blanks may join words that follow: try the longest valid beginning
-        while len(s) >= 15:
+    m = IBAN.search(text)
+    while m:
+        at = m.start() + 1
+        for s in _beginnings(m[0]):
             if iban(f, s, by):
                 offer("iban", m.start(), m.start() + len(s), iban)
+                at = m.start() + len(s)
                 break
-            s = s[:-1].rstrip()
+        m = IBAN.search(text, at)  # others may begin inside what was refused or cut off
     if "=" in text or ":" in text:
         for m in SECRET.finditer(text):
             offer("secret", m.start(1), m.end(1), secret)

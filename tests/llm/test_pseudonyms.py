@@ -70,6 +70,37 @@ def test_what_is_not_valid_stays():
     assert ps.replace(F, text) == (text, [])
 
 
+NUMBERS = {"card": ["4111111111111111", "4539 5787 6362 1486", "4539-5787-6362-1486", "371449635398431", "3714 496353 98431"],
+           "phone": ["+1 (826) 555-4081", "+33 1 23 45 67 89", "+14155552671", "(415) 555-2671", "415-555-2671"],
+           "ipv4": ["190.137.223.204", "97.51.17.173"], "ssn": ["123-45-6789"], "date": ["1987-02-28", "28.02.1987"],
+           "iban": ["DE89370400440532013000", "GB29 NWBK 6016 1331 9268 19"]}
+
+
+@pytest.mark.parametrize("gap", [" ", ", ", "\n", " / "])
+def test_adjacent_values_in_all_orders(gap):
+    values = [(kind, v) for kind, vs in NUMBERS.items() for v in vs]
+    alone = {v: ps.replace(F, v)[0] for _, v in values}
+    for kind, one in values:
+        for other, two in values:
+            text = f"on {one}{gap}{two} there"
+            new, found = ps.replace(F, text)
+            assert new == f"on {alone[one]}{gap}{alone[two]} there", text
+            assert [f[2] for f in found] == [kind, other]
+            assert ps.replace(F, new, -1)[0] == text
+
+
+@pytest.mark.parametrize("text, value", [
+    ("call +1 (826) 555-4081 then 190.137.223.204.5", "+1 (826) 555-4081"), ("+1 (826) 555-4081 2024", "+1 (826) 555-4081"),
+    ("4111111111111111 97.51.17.300", "4111111111111111"), ("4111111111111111 12/25", "4111111111111111"), ("4111111111111111 125", "4111111111111111"),
+    ("on 12 4111111111111111", "4111111111111111"), ("12 4111 1111 1111 1111 12/25 123", "4111 1111 1111 1111"), ("7 41 111111 11111111 99", "41 111111 11111111"),
+    ("at 1987-02-28T10:20:30Z", "1987-02-28"), ("+33 1 23 45 67 89.", "+33 1 23 45 67 89"), ("+49 30 123456 2 of 3", "+49 30 123456")])
+def test_value_next_to_numbers_is_replaced_as_alone(text, value):
+    new, found = ps.replace(F, text)
+    start = text.index(value)
+    assert (start, start + len(value)) in [f[:2] for f in found]
+    assert text.replace(value, ps.replace(F, value)[0]) == new
+
+
 def test_defined_cases(spark):
     rows = [(1, None, 0), (2, "", 0), (3, "mail jo@x.org", 0), (3, "mail jo@x.org", 0), (None, "x" * 300_000 + " 10.0.0.1", 0)]
     df = spark.createDataFrame(rows, "doc_id long, text string, found int")
