@@ -1,7 +1,7 @@
 """Benchmark decontamination by pigeonhole edit matching.
 
-Texts are normalised: lower case, everything but letters and digits read as
-one blank.  A test item of n bytes may occur with up to k = n * ERROR_RATE
+Texts are normalised: lower case, everything but letters, numbers and
+combining marks (by Unicode category) read as one blank.  A test item of n bytes may occur with up to k = n * ERROR_RATE
 edits.  Cut into k + 1 pieces, at least one piece of any such occurrence is
 untouched, so exact piece hits (an Aho-Corasick automaton over all pieces)
 give every candidate place; each is verified with Myers' bit-parallel edit
@@ -23,6 +23,7 @@ output's.
 from __future__ import annotations
 
 import hashlib
+import unicodedata
 from collections.abc import Iterator
 
 import ahocorasick
@@ -45,12 +46,30 @@ MATCH = T.ArrayType(T.StructType([T.StructField("item_id", T.LongType()), T.Stru
 ARROW_MATCH = pa.list_(pa.struct([("item_id", pa.int64()), ("errors", pa.int32()), ("start", pa.int64()), ("end", pa.int64())]))
 
 
+def _word_bytes(data: np.ndarray) -> np.ndarray:
+    """Which bytes belong to letters, numbers and combining marks."""
+    word = np.zeros(256, bool)
+    word[48:58] = word[97:123] = True
+    out = word[data]
+    lead = np.flatnonzero(data >= 0xC0)
+    if len(lead):
+        kinds = cached("word characters", lambda: np.array([unicodedata.category(chr(c))[0] in "LNM" for c in range(0x110000)]))
+        first = data[lead].astype(np.int64)
+        size = 2 + (first >= 0xE0) + (first >= 0xF0)
+        code = first & (0x7F >> size)
+        for k in (1, 2, 3):
+            more = size > k
+            code[more] = code[more] << 6 | data[lead[more] + k] & 0x3F
+        lead, size = lead[kinds[code]], size[kinds[code]]
+        for k in range(4):
+            out[lead[size > k] + k] = True
+    return out
+
+
 def normalised(column) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(bytes, offsets, place in the lower-cased bytes) of the texts, each with a blank before and after every word."""
     data, offsets = text_buffers(pc.utf8_lower(column.cast(pa.large_string())))
-    word = np.zeros(256, bool)
-    word[48:58] = word[97:123] = word[128:] = True
-    is_word = word[data]
+    is_word = _word_bytes(data)
     # every text is led by a blank and each run of other bytes is one blank; a last blank is added at the end
     before = np.concatenate([[False], is_word[:-1]]) if len(data) else is_word
     before[offsets[:-1][offsets[:-1] < len(data)]] = False

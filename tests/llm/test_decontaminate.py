@@ -1,6 +1,7 @@
 """Myers distance, pigeonhole search and planted passages against brute force."""
 
 import random
+import unicodedata
 
 import pyarrow as pa
 from hypothesis import given, settings, strategies as st
@@ -46,6 +47,30 @@ def test_normalised_places():
     assert dc.normal_text("A--b") == b"a b" and dc.normal_text(None) == b""
 
 
+def test_unicode_signs_are_blanks():
+    assert dc.normal_text("\u201cDon\u2019t\u201d\u2014he\u00a0said\u2026\u3000\uff0cso\uff01") == b"don t he said so"
+    assert dc.normal_text("na\u00efve cafe\u0301 \u4e2d\u6587 \u0967\u0968 \U0001d7d8 \U0001f600") == "na\u00efve cafe\u0301 \u4e2d\u6587 \u0967\u0968 \U0001d7d8".encode()
+    for c in range(0x80, 0x110000, 7):
+        if not 0xD800 <= c < 0xE000 and chr(c).lower() == chr(c):
+            assert (dc.normal_text(chr(c)) == chr(c).encode()) == (unicodedata.category(chr(c))[0] in "LNM"), hex(c)
+
+
+def test_typographic_copies(spark):
+    plain = '"Who," he asked, "has seen it?" - "Nobody," they said - "nobody at all," and the "old house" stood empty.'
+    curly, n = "", 0
+    for c in plain:
+        n += c == '"'
+        curly += {'"': "\u201c\u201d"[(n + 1) % 2], "-": "\u2014", " ": "\u00a0", ",": "\uff0c", ".": "\u2026"}.get(c, c)
+    docs = spark.createDataFrame([(1, f"\u2026before\u3000{curly}\u201d after"), (2, plain), (3, "\u201cnothing\u201d")], "doc_id long, text string")
+    for item in (plain, curly):
+        bench = spark.createDataFrame([(7, item)], "item_id long, text string")
+        got = {r.doc_id: r.matches for r in dc.find(docs, bench).collect()}
+        assert [(m.item_id, m.errors) for i in (1, 2) for m in got[i]] == [(7, 0), (7, 0)] and got[3] == []
+        text = f"\u2026before\u3000{curly}\u201d after".lower().encode()
+        assert dc.normal_text(text[got[1][0].start:got[1][0].end].decode()) == dc.normal_text(plain)
+        assert [r.doc_id for r in dc.without_matches(docs, bench).collect()] == [3]
+
+
 def edited(rng, text, edits):
     t = list(text)
     for _ in range(edits):
