@@ -68,10 +68,10 @@ def id_remainder(divisor: int):
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % divisor
 
 
-def toxicity_model(spark: SparkSession, sf_dir: str, docs: DataFrame | None = None) -> toxicity.Model:
-    """Fitted on labels whose remainder by 5 is not 0."""
+def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.Model:
+    """Fitted on the corpus and its labels whose remainder by 5 is not 0."""
     labels = table(spark, sf_dir, "labels").filter(id_remainder(5) != 0)
-    return toxicity.fit(docs if docs is not None else table(spark, sf_dir, "documents"), labels)
+    return toxicity.fit(table(spark, sf_dir, "documents"), labels)
 
 
 @query

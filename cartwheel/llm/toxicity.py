@@ -306,7 +306,9 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     """Lexicon, trees and calibration from at most ``sample_rows`` labelled documents, drawn by a hash of the id."""
     bounded_batches(docs.sparkSession)
     taught = (labels.filter(F.col(doc_id).isNotNull() & F.col(label).isin(0, 1)).groupBy(F.col(doc_id).alias("__id"))
-              .agg(F.max(label).cast("int").alias("__y")).orderBy(F.xxhash64("__id"), "__id").limit(sample_rows))
+              .agg(F.max(label).cast("int").alias("__y"))
+              .join(docs.select(F.col(doc_id).alias("__id")), "__id", "left_semi")  # labels of absent documents take no place in the sample
+              .orderBy(F.xxhash64("__id"), "__id").limit(sample_rows))
     # at most sample_rows rows, so the broadcast is bounded
     rows = (docs.select(F.col(doc_id).alias("__id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
             .join(F.broadcast(taught), "__id").withColumn("half", F.pmod(F.xxhash64("__id", F.lit(1)), F.lit(2)).cast("int")))

@@ -15,9 +15,9 @@ from cartwheel.session import cut_lineage
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose calibrated probability of being toxic is below one half."""
+    """Documents whose calibrated probability of being toxic is below one half, by the model of the corpus in ``sf_dir``."""
     columns = docs.columns
-    scored = toxicity.score(docs, toxicity_model(spark, sf_dir, docs), keep=columns, out="__toxic")
+    scored = toxicity.score(docs, toxicity_model(spark, sf_dir), keep=columns, out="__toxic")
     return scored.filter(F.col("__toxic") < 0.5).select(*columns)
 
 

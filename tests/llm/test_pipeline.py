@@ -32,6 +32,22 @@ def test_toxicity_stage(spark, stages):
     assert 0 < len(stages[0]) - len(stages[1]) < 200
 
 
+def test_toxicity_stage_on_documents_without_labels_of_both_kinds(spark, stages):
+    clean = {r.doc_id for r in stages[1]}
+    labelled = {r.doc_id: r.toxic for r in spark.read.parquet(f"{SF01}/labels.parquet").collect()}
+    toxic = [r for r in stages[0] if r.doc_id not in clean][:40]
+    fine = [r for r in stages[1] if labelled.get(r.doc_id) == 0][:40]
+    assert len(toxic) == len(fine) == 40
+
+    def left(rows, shift):
+        docs = spark.createDataFrame([(r.doc_id + shift, *r[1:]) for r in rows], spark.read.parquet(f"{SF01}/documents.parquet").schema)
+        return {r.doc_id - shift for r in corpus_pipeline.drop_toxic(spark, docs, SF01).collect()}
+
+    for shift in (0, 50_000_000):
+        assert left(toxic, shift) == set() and left(fine, shift) == {r.doc_id for r in fine}
+        assert left(toxic + fine, shift) == {r.doc_id for r in fine}
+
+
 def test_near_duplicate_stage(stages):
     kept = {i for i, c in brute([(r.doc_id, r.text) for r in stages[1]]).items() if i == c}
     assert sorted(r.doc_id for r in stages[2]) == sorted(kept) and {tuple(r) for r in stages[2]} <= {tuple(r) for r in stages[1]}

@@ -52,6 +52,12 @@ def test_defined_cases(spark):
         toxicity.score(docs, model, keep=["score"])
 
 
+def test_labels_of_absent_documents_take_no_place_in_the_sample(spark):
+    docs = spark.createDataFrame([(i, f"some words {i}") for i in range(4)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(2000)], "doc_id long, toxic int")
+    assert toxicity.fit(docs, labels, sample_rows=4).trees is not None
+
+
 def test_held_out_quality(spark):
     toxic = {r.doc_id: r.toxic for r in spark.read.parquet(f"{SF1}/labels.parquet").collect()}
     rows = op7_toxicity(spark, SF1).collect()
