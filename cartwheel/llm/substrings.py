@@ -89,18 +89,22 @@ class Hashed:
         return Hashed(*[np.concatenate(c) for c in zip(*[p.columns for p in parts])])
 
     def settle(self, rule: Callable) -> tuple[np.ndarray, np.ndarray]:
-        """(which are repeated by what is seen here, one place of each hash's smallest document).
+        """(which are repeated by what is seen here, one place of each hash in each text of its smallest id).
 
         ``rule`` decides from the smallest and largest document of a hash and
         the own one.
         """
-        order = np.lexsort((self.place, self.ids, self.extra, self.h))
-        d = self.ids[order]
+        order = np.lexsort((self.place, self.fps, self.ids, self.extra, self.h))
+        d, fps = self.ids[order], self.fps[order]
         edges = runs_of(self.h[order], self.extra[order])
         size = np.diff(edges)
         found = np.zeros(len(order), bool)
-        found[order] = rule(np.repeat(d[edges[:-1]], size), np.repeat(d[edges[1:] - 1], size), d)
-        return found, order[edges[:-1]]
+        least = np.repeat(d[edges[:-1]], size)
+        found[order] = rule(least, np.repeat(d[edges[1:] - 1], size), d)
+        sent = d == least  # rows that share the id have texts of their own, each of which is to be told
+        sent[1:] &= fps[1:] != fps[:-1]
+        sent[edges[:-1]] = True
+        return found, order[sent]
 
 
 def in_two_documents(least, most, own):

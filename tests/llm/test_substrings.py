@@ -57,6 +57,16 @@ def test_random_texts_equal_brute_force(spark, packed, bucket_bytes, monkeypatch
     assert substrings.remove_repeats(df.limit(0)).collect() == []
 
 
+def test_two_texts_under_one_id_with_the_earlier_document_elsewhere(spark):
+    passage = " ".join(f"w{k}" for k in range(30))
+    rows = [(1, f"first {passage}"), (7, f"one {passage} tail"), (7, f"{passage} another"), (7, f"x y z {passage}"), (7, f"one {passage} tail"), (9, f"{passage} last")]
+    parts = [rows[:1], rows[1:5], rows[5:]]
+    df = spark.createDataFrame(spark.sparkContext.parallelize([p for p in parts], 3).flatMap(lambda p: p), "doc_id long, text string")
+    assert df.rdd.glom().map(len).collect() == [1, 4, 1]
+    got = substrings.remove_repeats(df).collect()
+    assert sorted([tuple(r)[:4] for r in got], key=repr) == brute(rows, 13)
+
+
 @pytest.mark.parametrize("sf", [SF001, SF01])
 def test_query_equals_sql(spark, sf):
     con = duckdb.connect()
