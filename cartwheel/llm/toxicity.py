@@ -293,7 +293,7 @@ def crc_of_id(doc_id: str) -> Column:
 
 
 def _lexicon(counts: np.ndarray, totals: np.ndarray) -> Lexicon:
-    """From rows (hash, toxic texts, other texts) and the numbers of texts."""
+    """From rows (hash, toxic texts, other texts) and the numbers of texts, both without near copies."""
     keys, toxic, other = counts["h"], counts["toxic"], counts["other"]
     weight = np.log((toxic + 0.5) / (totals[1] + 1)) - np.log((other + 0.5) / (totals[0] + 1))
     keep = (toxic >= max(2, 0.015 * totals[1])) & (weight >= LEAST_LOG_ODDS)
@@ -321,7 +321,14 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
             yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(sketch[i]), pa.array(half[i]), pa.array(y[i])],
                                              names=["h", "sketch", "half", "y"])
 
-    totals = {(r["half"], r["__y"]): r["n"] for r in rows.groupBy("half", "__y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    def of_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, "text"):
+            yield pa.RecordBatch.from_arrays([pa.array(sketches(part.column("text")).view(np.int64)), part.column("half"), part.column("__y")],
+                                             names=["sketch", "half", "y"])
+
+    # texts are counted as their words are: near copies once
+    distinct = rows.mapInArrow(of_texts, "sketch long, half int, y int").distinct()
+    totals = {(r["half"], r["y"]): r["n"] for r in distinct.groupBy("half", "y").agg(F.count(F.lit(1)).alias("n")).collect()}
     per = lambda half, y: sum(n for (a, b), n in totals.items() if b == y and half in (a, None))
     if not per(None, 1) or not per(None, 0):
         return Model(Lexicon(np.empty(0, np.uint64), np.empty(0)), None, None, 1.0 if per(None, 1) else 0.0)

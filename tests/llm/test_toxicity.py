@@ -58,6 +58,22 @@ def test_labels_of_absent_documents_take_no_place_in_the_sample(spark):
     assert toxicity.fit(docs, labels, sample_rows=4).trees is not None
 
 
+@pytest.mark.parametrize("copied", [0, 1])
+def test_a_third_of_copies_changes_no_lexicon(spark, copied):
+    rng = np.random.default_rng(3)
+    word = lambda n: " ".join("".join(rng.choice(list("abcdefghij"), 6)) for _ in range(n))
+    rows = [(i, f"{word(12)} {'bad' + str(i // 2 % 20) + 'word' if i % 2 else 'fine'} {word(3)}", i % 2) for i in range(240)]
+    half = lambda ids: {r.i: r.h for r in spark.createDataFrame([(i,) for i in ids], "i long").selectExpr("i", "pmod(xxhash64(i, 1), 2) h").collect()}
+    of = half([*range(240), *range(1000, 1300)])
+    copies = [(i, rows[copied][1], copied) for i in range(1000, 1300) if of[i] == of[copied]][:120]
+    fitted = []
+    for some in (rows, rows + copies):
+        df = spark.createDataFrame(some, "doc_id long, text string, toxic int")
+        fitted.append(toxicity.fit(df.select("doc_id", "text"), df.select("doc_id", "toxic")).lexicon)
+    assert len(copies) == 120 and len(fitted[0].keys) >= 20
+    assert (fitted[0].keys == fitted[1].keys).all() and np.allclose(fitted[0].weights, fitted[1].weights)
+
+
 def test_held_out_quality(spark):
     toxic = {r.doc_id: r.toxic for r in spark.read.parquet(f"{SF1}/labels.parquet").collect()}
     rows = op7_toxicity(spark, SF1).collect()
