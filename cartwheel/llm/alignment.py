@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 from .bpe import PATTERN, byte_chars
-from .worker import bounded_batches, cached, discard, slices
+from .worker import Table, bounded_batches, cached, decimals, discard, slices
 
 #: A pack is closed after so many pairs of a text and a pair of ids.
 PACK_PAIRS = 1 << 19
@@ -144,19 +144,6 @@ class Aligned:
         return [flat[x:max(x, y - 1)] for x, y in zip(edge[:-1].tolist(), edge[1:].tolist())]
 
 
-class Table:
-    """The bytes of every id of a vocabulary."""
-
-    def __init__(self, raw: list[bytes]):
-        self.length = np.array([len(x) for x in raw], np.int64)
-        self.start = np.cumsum(self.length) - self.length
-        self.data = np.frombuffer(b"".join(raw), np.uint8)
-
-    def spelled(self, ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-        run = np.cumsum(lengths) - lengths
-        return self.data[np.arange(int(lengths.sum())) + np.repeat(self.start[ids] - run, lengths)]
-
-
 class Pair:
     """Both tokenizers, ready to use."""
 
@@ -186,10 +173,7 @@ class Pair:
         piece = [bytes([int(p[1:-1], 16)]) if self.pieces.is_byte(i) else p.replace("▁", " ").encode()
                  for i, p in enumerate(self.pieces.id_to_piece(list(range(size))))]
         self.a, self.b = Table(raw), Table(piece)
-        most = max(len(raw), size)
-        text = [str(i).encode() for i in range(most)]
-        wide = len(text[-1])
-        self.digits = np.frombuffer(b"".join(t.rjust(wide, b"\0") for t in text), np.uint8).reshape(most, wide)
+        self.digits = decimals(max(len(raw), size))
 
     def ids(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """Tokens of blank + text by A and of the text by B."""
@@ -220,7 +204,7 @@ class Pair:
 
 def _pair(vocabulary: str, model: bytes) -> Pair:
     key = hashlib.sha256(vocabulary.encode() + model).hexdigest()
-    return cached("alignment:" + key, lambda: Pair(vocabulary, model))
+    return cached("alignment:" + key, lambda: Pair(vocabulary, model), slot="model")
 
 
 def read_model(path: str) -> bytes:

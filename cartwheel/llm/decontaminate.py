@@ -199,11 +199,7 @@ def find(docs: DataFrame, benchmark: DataFrame, keep: list[str] | None = None, t
         shared, key = spark.sparkContext.broadcast(block), hashlib.sha256(repr((error_rate, block)).encode()).hexdigest()
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared, key=key) -> Iterator[pa.RecordBatch]:
-            built = cached("automaton", dict)  # one automaton at a time
-            if key not in built:
-                built.clear()
-                built[key] = Automaton(shared.value, error_rate)
-            auto = built[key]
+            auto = cached("automaton:" + key, lambda: Automaton(shared.value, error_rate), slot="model")  # one at a time
             for part in slices(batches, "__text"):
                 column = part.column(part.num_columns - 2)
                 found = part.column(part.num_columns - 1).to_pylist()

@@ -38,11 +38,8 @@ def _powers(seed: int, n: int) -> tuple[np.ndarray, np.ndarray]:
         down = np.full(size, pow(base, -1, 2 ** 64), np.uint64)
         up[0] = down[0] = 1
         return np.multiply.accumulate(up), np.multiply.accumulate(down)
-    key = f"powers:{seed}"
-    have = cached(key, lambda: [build((1 << 20) + 2)])
-    if len(have[0][0]) < n:
-        return build(n)  # a single very long text; not kept
-    return have[0]
+    have = cached(f"powers:{seed}", lambda: build((1 << 20) + 2), slot="powers", most=3)
+    return have if len(have[0]) >= n else build(n)  # those for a single very long text are not kept
 
 
 def _values(seed: int) -> np.ndarray:

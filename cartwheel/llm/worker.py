@@ -14,12 +14,22 @@ import pyarrow.compute as pc
 SLICE_BYTES = 1 << 20
 
 
-def cached(key: str, make: Callable):
-    """``make()`` once per worker process; the functions themselves travel by value."""
+def cached(key: str, make: Callable, slot: str | None = None, most: int = 1):
+    """``make()`` once per worker process; the functions themselves travel by value.
+
+    Of the entries of a ``slot`` only the ``most`` last used ones stay, so a
+    worker that serves one operator after another does not gather their tables.
+    """
     store = sys.modules.setdefault("_llm_worker_cache", types.ModuleType("_llm_worker_cache")).__dict__
-    if key not in store:
-        store[key] = make()
-    return store[key]
+    held = store.setdefault(f"slot:{slot}", {}) if slot else store
+    if key in held:
+        if slot:
+            held[key] = held.pop(key)
+        return held[key]
+    while slot and len(held) >= most:
+        held.pop(next(iter(held)))
+    held[key] = make()
+    return held[key]
 
 
 def text_buffers(column) -> tuple[np.ndarray, np.ndarray]:
@@ -52,6 +62,26 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, limit: int = SLICE_BYTE
             start = stop
 
 
+class Table:
+    """The bytes of every id of a vocabulary."""
+
+    def __init__(self, raw: list[bytes]):
+        self.length = np.array([len(x) for x in raw], np.int64)
+        self.start = np.cumsum(self.length) - self.length
+        self.data = np.frombuffer(b"".join(raw), np.uint8)
+
+    def spelled(self, ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        run = np.cumsum(lengths) - lengths
+        return self.data[np.arange(int(lengths.sum())) + np.repeat(self.start[ids] - run, lengths)]
+
+
+def decimals(ids: int) -> np.ndarray:
+    """The decimal digits of the ids below ``ids``, one row each, with bytes 0 before the first."""
+    text = [str(i).encode() for i in range(ids)]
+    wide = len(text[-1])
+    return np.frombuffer(b"".join(t.rjust(wide, b"\0") for t in text), np.uint8).reshape(ids, wide)
+
+
 def bounded_batches(spark) -> None:
     """Texts travel to Python in batches bounded by bytes, so that a worker's memory does not depend on their length."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")

@@ -3,6 +3,7 @@
 import hashlib
 import random
 
+import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
@@ -67,3 +68,32 @@ def test_query_digest(spark, library):
         assert r.n_tokens == len(e.ids)
         assert r.ids_sha256 == hashlib.sha256(",".join(map(str, e.ids)).encode()).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256(library.decode(e.ids, skip_special_tokens=False).encode()).hexdigest()
+
+
+def merged(merges, ids):
+    """Merges one pair at a time: the lowest rank, the leftmost of equals."""
+    ids = list(ids)
+    while True:
+        ranks = [merges.rank_of.get((a << 32) | b, merges.none) for a, b in zip(ids, ids[1:])]
+        if not ranks or min(ranks) == merges.none:
+            return ids
+        i = ranks.index(min(ranks))
+        ids[i:i + 2] = [int(merges.made[ranks[i]])]
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_merges_equal_one_at_a_time(seed):
+    rng = random.Random(seed)
+    pairs, made, known = [], [], [0, 1, 2]
+    for k in range(rng.randrange(0, 12)):  # ranks in any order, also pairs whose product merges earlier
+        pairs.append((rng.choice(known), rng.choice(known)))
+        made.append(3 + k)
+        known.append(3 + k)
+    order = rng.sample(range(len(pairs)), len(pairs))
+    merges = bpe.Merges([pairs[i] for i in order], [made[i] for i in order])
+    fragments = [[rng.randrange(3) for _ in range(rng.randrange(1, 30))] for _ in range(50)]
+    edge = np.concatenate([[0], np.cumsum([len(f) for f in fragments])])
+    ids, start = merges.together(np.concatenate(fragments), edge)
+    want = [merged(merges, f) for f in fragments]
+    assert [ids[a:b].tolist() for a, b in zip(start[:-1], start[1:])] == want
+    assert [merges.alone(list(f)) for f in fragments] == want
