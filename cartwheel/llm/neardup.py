@@ -11,17 +11,18 @@ earliest point, so two registers agree with a probability of exactly the
 weighted Jaccard similarity.  Points are drawn only until they are later than every register,
 which costs little more than one point for each shingle.
 
-Registers are banded; texts that share a band are candidates.  In each band
-bucket a hashed pivot is compared with the others, all verified exactly on
-the shingle counts; buckets whose texts are already linked are done, and a
-few such rounds leave little.  Of the rest every text is compared exactly
-with the other classes of its buckets (large ones in blocks), so no candidate
-link between different texts is lost.  Classes are the connected components
-of the links.
+Registers are banded; texts that share a band are candidates.  In each round
+every text that lies outside the largest class of one of its buckets is
+compared with one hashed text of such a class, exactly on the shingle counts,
+so a round compares no more pairs than there are texts; buckets whose texts are
+already linked are done, and a few rounds leave little.  Of the rest every
+text is compared exactly with the other classes of its buckets (large ones in
+blocks), so no candidate link between different texts is lost.  Classes are
+the connected components of the links.
 
 Defined cases: a text of fewer than ``SHINGLE`` words is one shingle; texts
 without words are alone, also among themselves; equal texts are one class;
-rows that share an id are one document; rows without an id are alone (class
+rows that share an id are one class; rows without an id are alone (class
 null); repeated rows are answered alike; an empty table gives an empty
 result; other columns are ignored.
 """
@@ -50,7 +51,9 @@ SLICE_BYTES, SLICE_ROWS = 1 << 20, 8_192
 #: Rounds of pivots go on while more pairs would be left than this many for each posting
 #: and the last round has linked at least this share of its pairs.
 LEFT_PAIRS, PRODUCTIVE = 2, 0.1
-#: A class of at most so many texts is compared pair by pair; of a larger one, texts of a block.
+#: Rounds of pivots at most; what is open then is compared as the rest.
+ROUNDS = 8
+#: At most so many texts are compared pair by pair; of more, texts of a block.
 FEW, BLOCK = 8, 512
 _GOLDEN = 0x9E3779B97F4A7C15
 
@@ -209,31 +212,72 @@ def _linked(members: pa.Table, asks: pa.Table, similarity: float) -> pa.Table:
     return pa.table([pa.array([f[i] for f in found], pa.int64()) for i in (0, 1)], names=["a", "b"])
 
 
+def _among(texts: pa.Table, similarity: float) -> pa.Table:
+    """Links between the similar texts of different classes of a block, no more than join them."""
+    nodes, kinds = texts["node"].to_pylist(), texts["class"].to_pylist()
+    unpacked = [_unpack(x) for x in texts["bag"].to_pylist()]
+    h, c = np.concatenate([h for h, _ in unpacked]), np.concatenate([c for _, c in unpacked]).astype(np.int64)
+    owner = np.repeat(np.arange(len(unpacked)), [len(g) for g, _ in unpacked])
+    total = np.bincount(owner, weights=c, minlength=len(unpacked))
+    order = np.argsort(h, kind="stable")
+    h, c, owner = h[order], c[order], owner[order]
+    up: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while up.get(x, x) != x:
+            up[x] = x = up.get(up[x], up[x])
+        return x
+
+    found = []
+    for k, (g, w) in enumerate(unpacked):
+        low, high = np.searchsorted(h, g), np.searchsorted(h, g, side="right")
+        n = high - low
+        at = np.repeat(low - np.cumsum(n) + n, n) + np.arange(n.sum())
+        both = np.bincount(owner[at], weights=np.minimum(c[at], np.repeat(w, n)), minlength=len(unpacked))
+        for o in np.flatnonzero(both / (total + total[k] - both) >= similarity).tolist():
+            a, b = root(kinds[k]), root(kinds[o])
+            if a != b:
+                up[a] = b
+                found.append((min(nodes[k], nodes[o]), max(nodes[k], nodes[o])))
+    return pa.table([pa.array([f[i] for f in found], pa.int64()) for i in (0, 1)], names=["a", "b"])
+
+
 def _rest(rows: DataFrame, labelled: DataFrame, bag: DataFrame, similarity: float) -> DataFrame:
     """Links between the different classes that share a bucket.
 
     A text outside its bucket's largest class asks that class, and texts
-    outside it ask each other.  A class of a few texts answers pair by pair.
-    A larger one is asked as a whole, in blocks: its texts and the asking
-    ones are dealt over a grid of blocks of about ``BLOCK`` each, and a block
-    gives one link for each asking text, so a dense group of near copies
-    costs no row for each pair.
+    outside it ask each other.  Few texts answer pair by pair.  More are
+    asked as a whole, in blocks: the members of a class and the texts that
+    ask it are dealt over a grid of blocks of about ``BLOCK`` each, and so are a
+    bucket's texts outside the class among themselves; a block gives no more
+    links than it has texts, so a dense group costs no row for each pair.
     """
     outside = cut_lineage(rows.filter("class <> main"))
-    members = labelled.select("node", "class").distinct()
-    asks = outside.select("node", F.col("main").alias("class")).distinct()
+    members = labelled.select("node", "class", "size").distinct()
+    asks = outside.select("node", F.col("main").alias("class"), F.col("size").alias("so")).distinct()
     count = cut_lineage(members.groupBy("class").agg(F.count(F.lit(1)).alias("m")).join(
         asks.groupBy("class").agg(F.count(F.lit(1)).alias("q")), "class"))
     pair = lambda x, y: [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
     few = (asks.withColumnRenamed("node", "o").join(count.filter(F.col("m") <= FEW), "class")
-           .join(members, "class").select(*pair("node", "o")))
-    other = outside.select("band", F.col("node").alias("o"), F.col("class").alias("co"), F.col("size").alias("so"))
-    among = outside.join(other, "band").filter((F.col("class") < F.col("co")) & _sizes_fit(similarity)).select(*pair("node", "o"))
+           .join(members, "class").filter(_sizes_fit(similarity)).select(*pair("node", "o")))
+    met = cut_lineage(outside.groupBy("band").agg(F.count(F.lit(1)).alias("m")).filter("m > 1"))
+    sparse = outside.join(met.filter(F.col("m") <= FEW).select("band"), "band")
+    other = sparse.select("band", F.col("node").alias("o"), F.col("class").alias("co"), F.col("size").alias("so"))
+    among = sparse.join(other, "band").filter((F.col("class") < F.col("co")) & _sizes_fit(similarity)).select(*pair("node", "o"))
     by_pair = _verify(cut_lineage(few.unionByName(among).distinct()), bag, similarity)
 
-    grid = count.filter(F.col("m") > FEW).select("class", F.ceil(F.col("m") / BLOCK).alias("pm"), F.ceil(F.col("q") / BLOCK).alias("pq"))
     every = lambda n: F.explode(F.sequence(F.lit(0), n.cast("int") - 1))
     packed = bag.select(F.col("id").alias("node"), "bag")
+    dense = (outside.join(met.filter(F.col("m") > FEW), "band").withColumn("parts", F.ceil(F.col("m") / BLOCK))
+             .withColumn("i", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")).withColumn("j", every(F.col("parts")))
+             .select("band", F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j"), "node", "class"))
+
+    def around(texts: pa.Table) -> pa.Table:
+        return _among(texts, similarity)
+
+    by_bucket = dense.join(packed, "node").groupBy("band", "i", "j").applyInArrow(around, "a long, b long")
+
+    grid = count.filter(F.col("m") > FEW).select("class", F.ceil(F.col("m") / BLOCK).alias("pm"), F.ceil(F.col("q") / BLOCK).alias("pq"))
     held = (members.join(grid, "class").withColumn("i", F.pmod(F.xxhash64("node"), F.col("pm")).cast("int"))
             .withColumn("j", every(F.col("pq"))).join(packed, "node").select("class", "i", "j", "node", "bag"))
     asking = (asks.join(grid, "class").withColumn("j", F.pmod(F.xxhash64("node"), F.col("pq")).cast("int"))
@@ -244,7 +288,9 @@ def _rest(rows: DataFrame, labelled: DataFrame, bag: DataFrame, similarity: floa
         return _linked(members, asks, similarity)
 
     by_block = held.groupBy("class", "i", "j").cogroup(asking.groupBy("class", "i", "j")).applyInArrow(block, "a long, b long")
-    return cut_lineage(by_pair.unionByName(by_block))
+    links = cut_lineage(by_pair.unionByName(by_block).unionByName(by_bucket))
+    discard(outside, count, met)
+    return links
 
 
 def classes(docs: DataFrame, similarity: float = SIMILARITY, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -265,7 +311,7 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, doc_id: str = "doc_
     shared = cut_lineage(posting.groupBy("band").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo <> hi").select("band"))
     posting = cut_lineage(posting.join(shared, "band").distinct())
     release(spark)
-    candidate = posting.select(F.col("node").alias("id")).distinct()
+    candidate = cut_lineage(posting.select(F.col("node").alias("id")).distinct())
     wanted = given.join(candidate, "id", "left_semi").groupBy("id", F.xxhash64("text")).agg(F.first("text").alias("text"))
     bag = cut_lineage(_bag_table(wanted.select("id", "text")))
     release(spark)
@@ -273,31 +319,32 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, doc_id: str = "doc_
     links, tried, salt, more = [copies], [], 0, True
     labelled = posting.withColumn("class", F.col("node"))
     while True:
-        # buckets with more than one class: their largest class, a hashed pivot, and how many pairs of different classes they hold
-        draw = F.min(F.struct(F.xxhash64("node", F.lit(salt)).alias("h"), "node", "class", "size")).alias("pivot")
+        # buckets with more than one class: their largest class (of equals that of the first pivot), a hashed text of it, and their pairs of different classes
+        draw = F.min(F.struct(F.xxhash64("node", F.lit(salt)).alias("h"), F.col("node").alias("o"), F.col("size").alias("so"))).alias("pivot")
         per = labelled.groupBy("band", "class").agg(F.count(F.lit(1)).alias("n"), draw)
         buckets = cut_lineage(per.groupBy("band").agg(
             F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("s"), F.count(F.lit(1)).alias("classes"),
-            F.max_by("class", F.struct("n", "class")).alias("main"), F.min("pivot").alias("pivot")).filter("classes > 1"))
+            F.max_by(F.struct(F.col("class").alias("main"), "pivot"), F.struct("n", F.bitwise_not("pivot.h"))).alias("top")).filter("classes > 1"))
         size = buckets.agg(F.sum("n").alias("n"), F.sum((F.col("n") * F.col("n") - F.col("s")) / 2).alias("pairs")).first()
         if not size["n"]:
             break
-        last = size["pairs"] <= LEFT_PAIRS * size["n"] or not more
-        rows = labelled.join(buckets.select("band", "main", F.col("pivot.node").alias("o"), F.col("pivot.class").alias("co"),
-                                             F.col("pivot.size").alias("so")), "band")
-        if last:
+        rows = labelled.join(buckets.select("band", "top.main", "top.pivot.*"), "band")
+        if size["pairs"] <= LEFT_PAIRS * size["n"] or not more or salt == ROUNDS:
             break
-        wide = rows.filter((F.col("class") != F.col("co")) & _sizes_fit(similarity))
-        pairs = wide.select(F.least("node", "o").alias("a"), F.greatest("node", "o").alias("b")).distinct()
+        # every text outside its bucket's largest class is compared with one text of such a class
+        wide = (rows.filter((F.col("class") != F.col("main")) & _sizes_fit(similarity))
+                .select("node", "h", "o", F.least("node", "o").alias("a"), F.greatest("node", "o").alias("b")))
         for t in tried:
-            pairs = pairs.join(t, ["a", "b"], "left_anti")
-        pairs = cut_lineage(pairs)
+            wide = wide.join(t, ["a", "b"], "left_anti")
+        pairs = wide.groupBy("node").agg(F.min(F.struct("h", "o")).alias("near")).select("node", F.col("near.o").alias("o"))
+        pairs = cut_lineage(pairs.select(F.least("node", "o").alias("a"), F.greatest("node", "o").alias("b")).distinct())
         found = cut_lineage(_verify(pairs, bag, similarity))
         discard(buckets)
         release(spark)
         links.append(found)
         tried.append(pairs)
-        more = found.count() >= PRODUCTIVE * pairs.count()
+        asked = pairs.count()
+        more = 0 < asked and found.count() >= PRODUCTIVE * asked
         labelled = posting.join(partial_labels(reduce(DataFrame.unionByName, links)), "node", "left").select(
             "band", "node", "size", F.coalesce("class", "node").alias("class"))
         salt += 1
@@ -313,11 +360,16 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, doc_id: str = "doc_
 def without_duplicates(docs: DataFrame, similarity: float = SIMILARITY, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` with the least id of each class, with all their columns.
 
-    Of rows that share an id the one whose text has the least hash stays; rows
-    without an id stay.
+    Of rows that share that id one stays for each text (they are told apart by
+    nothing else); rows without an id stay.
     """
     columns = docs.columns
     others = cut_lineage(classes(docs, similarity, doc_id, text).filter(F.col(doc_id) != F.col("class_id")).select(doc_id).distinct())
-    kept = docs.filter(F.col(doc_id).isNotNull()).join(others, doc_id, "left_anti").select(*columns)
-    one = kept.groupBy(F.col(doc_id).alias("__id")).agg(F.min_by(F.struct(*columns), F.xxhash64(text)).alias("__row")).select("__row.*")
-    return one.unionByName(docs.filter(F.col(doc_id).isNull()))
+    several = cut_lineage(docs.filter(F.col(doc_id).isNotNull()).groupBy(doc_id).count().filter("count > 1").select(doc_id))
+    kept = docs.join(others, doc_id, "left_anti").select(*columns)
+    if several.isEmpty():
+        return kept
+    # only rows whose id repeats are gathered, by id and text
+    twice = kept.join(several, doc_id, "left_semi").select(*columns)
+    one = twice.groupBy(F.col(doc_id).alias("__id"), F.sha2(text, 256).alias("__text")).agg(F.min_by(F.struct(*columns), F.xxhash64(*columns)).alias("__row"))
+    return kept.join(several, doc_id, "left_anti").select(*columns).unionByName(one.select("__row.*"))

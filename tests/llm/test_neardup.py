@@ -126,6 +126,39 @@ def test_classes_equal_brute_force(spark, left, few, block, monkeypatch):
     assert neardup.classes(df.limit(0)).collect() == []
 
 
+def test_groups_of_unfit_sizes_end(spark):
+    """Copies of a page with and without a long footer share bands, but no pair of them can be similar enough."""
+    rng = random.Random(4)
+    base, footer = make(rng, 400), make(rng, 112)
+    rows = [" ".join(near(rng, base, 2)) for _ in range(14)] + [" ".join(near(rng, base, 2) + footer) for _ in range(14)]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = {r.doc_id: r.class_id for r in neardup.classes(df).collect()}
+    assert got == brute(list(enumerate(rows))) and len(set(got.values())) == 2
+
+
+@pytest.mark.parametrize("block", [3, 512])
+def test_a_dense_bucket_of_different_classes(spark, block, monkeypatch):
+    """Many texts share a long passage and bands; only some of them are similar."""
+    monkeypatch.setattr(neardup, "BLOCK", block)
+    monkeypatch.setattr(neardup, "ROUNDS", 1)
+    rng = random.Random(6)
+    base = make(rng, 150)
+    rows = [" ".join(base + make(rng, 45)) for _ in range(25)]
+    rows += [" ".join(near(rng, r.split(), 1)) for r in rows[:12]]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    assert {r.doc_id: r.class_id for r in neardup.classes(df).collect()} == brute(list(enumerate(rows)))
+
+
+def test_rows_that_share_an_id_keep_their_texts(spark):
+    rng = random.Random(7)
+    a, b, c = (" ".join(make(rng, 40)) for _ in range(3))
+    rows = [(1, a, 0), (1, b, 0), (1, a, 0), (2, a, 0), (3, c, 0), (3, c, 1), (None, a, 0), (None, None, 0), (4, None, 0), (4, None, 0)]
+    got = neardup.without_duplicates(spark.createDataFrame(rows, "doc_id long, text string, __id int")).collect()
+    assert sorted(((r.doc_id, r.text) for r in got), key=repr) == sorted([(1, a), (1, b), (3, c), (None, a), (None, None), (4, None)], key=repr)
+    plain = neardup.without_duplicates(spark.createDataFrame([(1, a), (2, a), (3, b)], "doc_id long, text string"))
+    assert sorted(r.doc_id for r in plain.collect()) == [1, 3]
+
+
 def test_query(spark):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF01}/documents.parquet").collect()]
     got = {r.doc_id: r.class_id for r in op6_neardup(spark, SF01).collect()}
