@@ -47,7 +47,7 @@ SIMILARITY = 0.8
 #: A pair of similarity 0.8 shares no band with probability (1 - 0.8^6)^26 = 0.0004.
 BANDS, ROWS = 26, 6
 REGISTERS = BANDS * ROWS
-SLICE_BYTES, SLICE_ROWS = 1 << 20, 8_192
+SLICE_BYTES, SLICE_ROWS = 1 << 19, 4_096
 #: Rounds of pivots go on while more pairs would be left than this many for each posting
 #: and the last round has linked at least this share of its pairs.
 LEFT_PAIRS, PRODUCTIVE = 2, 0.1
