@@ -39,4 +39,4 @@ def all_oracles() -> dict[str, str]:
 
 
 def _load() -> None:
-    from . import queries  # noqa: F401  (registers on import)
+    from . import queries, request_queries  # noqa: F401  (register on import)
