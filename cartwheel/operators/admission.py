@@ -45,6 +45,8 @@ ACCEPTED, REJECTED, UNDECIDED = "A", "R", "U"
 # (each fold rewrites the working ledger; folding every round costs more
 # than it saves).
 FOLD_EVERY = 3
+# The command that stands for all orders admitted before the log begins.
+BEFORE = -(2 ** 63)
 
 
 def _empty_adjustments(spark, product_type: str):
@@ -57,13 +59,15 @@ def _empty_cancels(spark):
 
 def admit_commands(stock0: DataFrame, orders: DataFrame, order_lines: DataFrame,
                    cancels: DataFrame | None = None, adjustments: DataFrame | None = None,
-                   rounds_out: list | None = None):
+                   rounds_out: list | None = None, standing: DataFrame | None = None):
     """D2 (+D3 cancel, +D4 adjust) -> (decisions, movements, final_stock).
 
     stock0(product_id, stock); orders(seq, order_id, user_id);
     order_lines(order_id, product_id, quantity); cancels(seq, order_id,
     user_id); adjustments(seq, product_id, delta, reason).  ``seq`` values
-    are unique over all commands.
+    are unique over all commands.  standing(order_id, user_id, open): orders
+    admitted before the log begins; their stock is already taken, and a
+    cancel of an open one (whose lines stand in ``order_lines``) puts it back.
 
     decisions(seq, kind, ref_id, user_id, outcome): ORDER -> PLACED /
     INSUFFICIENT_STOCK / UNKNOWN_PRODUCT / EMPTY_ORDER / INVALID_QUANTITY; CANCEL -> CANCELLED /
@@ -98,9 +102,11 @@ def admit_commands(stock0: DataFrame, orders: DataFrame, order_lines: DataFrame,
     a = a.withColumn("static", a_static)
 
     # first owner-matching cancel after its order is the effective one
-    c = cancels.select("seq", "order_id", F.col("user_id").alias("c_user")).join(
-        orders.select(F.col("seq").alias("o_seq"), "order_id", F.col("user_id").alias("o_user")), "order_id", "left")
-    eligible = F.col("o_seq").isNotNull() & (F.col("seq") > F.col("o_seq")) & (F.col("c_user") == F.col("o_user"))
+    placed = orders.select(F.col("seq").alias("o_seq"), "order_id", F.col("user_id").alias("o_user"), F.lit(True).alias("o_open"))
+    if standing is not None:
+        placed = placed.unionByName(standing.select(F.lit(BEFORE).alias("o_seq"), "order_id", F.col("user_id").alias("o_user"), F.col("open").alias("o_open")))
+    c = cancels.select("seq", "order_id", F.col("user_id").alias("c_user")).join(placed, "order_id", "left")
+    eligible = F.col("o_seq").isNotNull() & (F.col("seq") > F.col("o_seq")) & (F.col("c_user") == F.col("o_user")) & F.col("o_open")
     first_cancel = c.filter(eligible).groupBy("order_id").agg(F.min("seq").alias("_eff_seq"))
     c = c.join(first_cancel, "order_id", "left")
 
@@ -110,6 +116,8 @@ def admit_commands(stock0: DataFrame, orders: DataFrame, order_lines: DataFrame,
         a.select(F.col("seq").alias("cmd"),
                  F.when(F.col("static").isNotNull(), REJECTED)
                  .when(F.col("delta") > 0, ACCEPTED).otherwise(UNDECIDED).alias("st")))
+    if standing is not None:
+        status0 = status0.unionByName(spark.range(1).select(F.lit(BEFORE).alias("cmd"), F.lit(ACCEPTED).alias("st")))
 
     # ---- ledger: (product, seq) rows, with the command they depend on ---
     ol = o.filter(F.col("static").isNull()).select("seq", "order_id").join(lines, "order_id")
@@ -199,7 +207,11 @@ def admit_commands(stock0: DataFrame, orders: DataFrame, order_lines: DataFrame,
     acc = ledger.join(final_st.filter(F.col("st") == ACCEPTED).select(F.col("seq").alias("dep")), "dep", "left_semi")
     order_of = orders.select(F.col("seq").alias("dep"), F.col("order_id").alias("related_order_id"))
     reasons = a.select(F.col("seq").alias("dep"), "reason")
-    movements = acc.join(order_of, "dep", "left").join(reasons, "dep", "left").select(
+    named = acc.join(order_of, "dep", "left").join(reasons, "dep", "left")
+    if standing is not None:
+        undone = c.filter((F.col("o_seq") == BEFORE) & (F.col("seq") == F.col("_eff_seq"))).select("seq", F.col("order_id").alias("_undone"))
+        named = named.join(undone, "seq", "left").withColumn("related_order_id", F.coalesce("related_order_id", "_undone"))
+    movements = named.select(
         F.xxhash64("seq", "product_id").alias("movement_id"),
         "product_id", "seq", F.lit(None).cast("timestamp_ntz").alias("at"), (F.col("up") - F.col("need")).cast("int").alias("delta"),
         movement_reason(F.when(F.col("related_order_id").isNull(), "ADJUST").when(F.col("up") > 0, "CANCEL")

@@ -23,8 +23,8 @@ def requests(v) -> dict[str, tuple[DataFrame, str]]:
     product = p.select(
         k.alias("id"), F.when(k % 59 != 0, k % 7 - 1).alias("category_id"),
         F.when(k % 50 == 0, F.repeat("p_name", F.lit(10))).when(k % 61 != 0, F.expr("substring(p_type, 1, CAST(p_partkey % 9 AS INT))")).alias("sku"),
-        F.when(k % 11 == 0, F.substring("p_name", 1, 1)).when(k % 13 == 0, F.repeat("p_name", F.lit(12))).when(k % 29 != 0, F.col("p_name")).alias("product_name"),
-        F.when(k % 17 == 0, F.repeat("p_name", F.lit(150))).when(k % 3 == 0, F.col("p_brand")).alias("description"),
+        F.when(k % 11 == 0, F.substring("p_name", 1, 1)).when(k % 13 == 0, F.repeat("p_name", F.lit(30))).when(k % 29 != 0, F.col("p_name")).alias("product_name"),
+        F.when(k % 17 == 0, F.repeat("p_name", F.lit(400))).when(k % 3 == 0, F.col("p_brand")).alias("description"),
         F.when(k % 101 == 0, F.lit(float("nan"))).when(k % 103 != 0, F.col("p_retailprice") * (k % 10 - 1)).alias("price"),
         F.when(k % 67 != 0, F.col("p_size") - 5).alias("stock_qty"), F.when(k % 4 != 0, F.col("p_size") - 3).alias("reorder_level"))
     name = F.expr("substring(c_name, 1, CAST(c_custkey % 20 AS INT))")
@@ -47,9 +47,9 @@ SQL_REQUESTS = """
     , product AS (
         SELECT p_partkey AS id, CASE WHEN p_partkey % 59 <> 0 THEN p_partkey % 7 - 1 END AS category_id,
                CASE WHEN p_partkey % 50 = 0 THEN repeat(p_name, 10) WHEN p_partkey % 61 <> 0 THEN substr(p_type, 1, p_partkey % 9) END AS sku,
-               CASE WHEN p_partkey % 11 = 0 THEN substr(p_name, 1, 1) WHEN p_partkey % 13 = 0 THEN repeat(p_name, 12)
+               CASE WHEN p_partkey % 11 = 0 THEN substr(p_name, 1, 1) WHEN p_partkey % 13 = 0 THEN repeat(p_name, 30)
                     WHEN p_partkey % 29 <> 0 THEN p_name END AS product_name,
-               CASE WHEN p_partkey % 17 = 0 THEN repeat(p_name, 150) WHEN p_partkey % 3 = 0 THEN p_brand END AS description,
+               CASE WHEN p_partkey % 17 = 0 THEN repeat(p_name, 400) WHEN p_partkey % 3 = 0 THEN p_brand END AS description,
                CASE WHEN p_partkey % 101 = 0 THEN 'NaN'::DOUBLE WHEN p_partkey % 103 <> 0 THEN p_retailprice * (p_partkey % 10 - 1) END AS price,
                CASE WHEN p_partkey % 67 <> 0 THEN p_size - 5 END AS stock_qty, CASE WHEN p_partkey % 4 <> 0 THEN p_size - 3 END AS reorder_level
         FROM part),

@@ -1,20 +1,19 @@
 """The trigger side effects re-aimed as Structured Streaming jobs.
 
-* J2 ``order_audit_updates``: F3 per micro-batch with the last status of
-  every order kept in keyed state (``applyInPandasWithState``).
-* J3 ``session_updates``: G5 with per-session state; the session's state is
-  dropped by an event-time timeout at its expiry (watermark on ``at``).
-* J1 ``start_inventory_stream``: D2 + F1 per micro-batch against the stored
-  stock snapshot (``foreachBatch``); orders span products, so the state is
-  a table, not product-keyed state.  Every output is written under the
-  batch id and the snapshot is only advanced after the batch's outputs
-  exist, so a replayed batch is a no-op.
-* J4 ``start_cart_stream``: C3 per micro-batch against the stored cart
-  snapshot, same batch-id discipline.
-
-Commands arrive in commit order: a batch is applied after the previous one
-and ``seq`` orders commands inside a batch (an older seq arriving later is
-applied late, not inserted back).
+* J2 ``order_audit_updates``: F3 with the last status of every order as a
+  state value; a timer drops that of a closed order.
+* J3 ``session_updates``: G5 with one state value a session and an event-time
+  timer at its expiry.
+* J4 ``cart_updates``: C3 with the cart lines of every user as map state.
+* J1 ``start_inventory_stream``: D2 + F1 per micro-batch (``foreachBatch``);
+  orders span products, so the state is a table of changed keys by batch.
+
+J2-J4 are plain streaming DataFrames over Spark's own state and checkpoint
+(the RocksDB state store, set by ``build_session``); any exactly-once sink
+can take them.  Commands arrive in commit order: a batch is applied after
+the one before it and ``seq`` orders commands inside a batch (an older seq
+arriving later is applied late, not inserted back).  The commands of one key
+and micro-batch meet in one task, as Spark's keyed state has it.
 """
 
 from __future__ import annotations
@@ -22,96 +21,143 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
 from ..operators.admission import admit_commands
 from ..operators.audit import inventory_audit
-from ..operators.cart_fold import fold_cart
+from ..session import cut_lineage
 
 AUDIT_SCHEMA = ("audit_id LONG, order_id LONG, old_status STRING, new_status STRING, note STRING, "
                 "changed_at TIMESTAMP_NTZ")
-AUDIT_STATE = "status STRING"
-
-
-def _audit_fn(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    prev = state.get[0] if state.exists else None
-    rows = pd.concat(list(batches)).sort_values("seq")
-    out = []
-    for r in rows.itertuples(index=False):
-        if prev is None:
-            out.append((r.seq, r.order_id, None, r.order_status, "ORDER_CREATED", r.at))
-        elif r.order_status != prev:
-            out.append((r.seq, r.order_id, prev, r.order_status, "ORDER_STATUS_UPDATED", r.at))
-        prev = r.order_status
-    state.update((prev,))
-    yield pd.DataFrame(out, columns=["audit_id", "order_id", "old_status", "new_status", "note", "changed_at"])
-
-
-def order_audit_updates(status_stream: DataFrame) -> DataFrame:
+# Statuses after which an order does not change any more.
+CLOSED = ("CANCELLED", "COMPLETED")
+DAY_MS = 24 * 3600 * 1000
+
+
+class _OrderAudit(StatefulProcessor):
+    """The last status of an order; that of a closed order is dropped by a timer."""
+
+    def __init__(self, keep_ms: int):
+        self.keep_ms = keep_ms
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.last = handle.getValueState("last", "status STRING, until LONG")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        known, now = self.last.get(), timerValues.getCurrentWatermarkInMs()
+        if known and known[1] is not None:
+            self.handle.deleteTimer(known[1])
+            known = known if known[1] > now else None  # its timer is due
+        log = pd.concat(list(rows)).sort_values("seq")
+        old = log["order_status"].shift(1)
+        old.iloc[0] = known[0] if known else None
+        last = log["order_status"].iloc[-1]
+        changed = old.isna() | (old != log["order_status"])
+        until = int(log["at"].max().timestamp() * 1000) + self.keep_ms if last in CLOSED else None
+        if until is not None and until <= now:
+            self.last.clear()
+        else:
+            self.last.update((last, until))
+            if until is not None:
+                self.handle.registerTimer(until)
+        note = old.isna().map({True: "ORDER_CREATED", False: "ORDER_STATUS_UPDATED"})
+        out = pd.DataFrame({"audit_id": log["seq"], "order_id": log["order_id"], "old_status": old.astype(object).where(old.notna(), None),
+                            "new_status": log["order_status"], "note": note, "changed_at": log["at"]})
+        yield out[changed]
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.last.clear()
+        yield from ()
+
+    def close(self) -> None:
+        pass
+
+
+def order_audit_updates(status_stream: DataFrame, keep_ms: int = 30 * DAY_MS, watermark: str = "30 days") -> DataFrame:
     """Streaming F3 over (seq, order_id, order_status, at); append mode.
 
-    The per-key Python function sees only one order's rows of one
-    micro-batch and a one-field state.
+    A closed order's status is forgotten once the watermark passes its last
+    write by ``keep_ms``; a write after that starts a new history.  As in all of Spark's
+    event-time state, a write later than ``watermark`` is left out.
     """
-    return status_stream.groupBy("order_id").applyInPandasWithState(
-        _audit_fn, AUDIT_SCHEMA, AUDIT_STATE, "append", GroupStateTimeout.NoTimeout)
+    log = status_stream.withColumn("_t", F.col("at").cast("timestamp")).withWatermark("_t", watermark)
+    return log.groupBy("order_id").transformWithStateInPandas(_OrderAudit(keep_ms), AUDIT_SCHEMA, "Append", "EventTime")
 
 
+SESSION_COLUMNS = ["session_id", "user_id", "expires_at", "revoked_at", "last_used_at", "refused_uses", "closed"]
 SESSION_SCHEMA = ("session_id LONG, user_id LONG, expires_at TIMESTAMP_NTZ, revoked_at TIMESTAMP_NTZ, "
                   "last_used_at TIMESTAMP_NTZ, refused_uses LONG, closed BOOLEAN")
-SESSION_STATE = ("user_id LONG, expires_at TIMESTAMP_NTZ, revoked_at TIMESTAMP_NTZ, last_used_at TIMESTAMP_NTZ, "
-                 "refused_uses LONG")
+# times as microseconds since 1970
+SESSION_STATE = "user_id LONG, expires LONG, revoked LONG, used LONG, refused LONG"
 
 
-def _session_fn(ttl_hours: int):
-    ttl = pd.Timedelta(hours=ttl_hours)
+def _micros(t) -> int | None:
+    return None if t is None or pd.isna(t) else pd.Timestamp(t).value // 1000
 
-    def fn(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        sid = int(key[0])
-        if state.hasTimedOut:
-            user, exp, rev, last, refused = state.get
-            state.remove()
-            yield pd.DataFrame([(sid, user, exp, rev, last, refused, True)],
-                               columns=["session_id", "user_id", "expires_at", "revoked_at", "last_used_at",
-                                        "refused_uses", "closed"])
-            return
-        user, exp, rev, last, refused = state.get if state.exists else (None, None, None, None, 0)
-        rows = pd.concat(list(batches)).sort_values("seq")
-        if not state.exists and not (rows["kind"] == "LOGIN").any():
+
+def _time(us: int | None):
+    return pd.NaT if us is None else pd.Timestamp(us, unit="us")
+
+
+def _told(sid: int, state, closed: bool) -> pd.DataFrame:
+    user, expires, revoked, used, refused = state
+    row = (sid, user, _time(expires), _time(revoked), _time(used), refused, closed)
+    return pd.DataFrame([row], columns=SESSION_COLUMNS).astype({"user_id": "Int64", "expires_at": "datetime64[us]", "revoked_at": "datetime64[us]",
+                                                                "last_used_at": "datetime64[us]"})
+
+
+class _Sessions(StatefulProcessor):
+    def __init__(self, ttl_hours: int):
+        self.ttl = pd.Timedelta(hours=ttl_hours)
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.session = handle.getValueState("session", SESSION_STATE)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        sid, state = int(key[0]), self.session.get()
+        log = pd.concat(list(rows)).sort_values("seq")
+        login, use = log["kind"] == "LOGIN", log["kind"] == "USE"
+        user, expires, revoked, used, refused = state or (None, None, None, None, 0)
+        if state is None and not login.any():
             # the session is closed and forgotten: its uses are all refused, told in a row of their own
-            late = int((rows["kind"] == "USE").sum())
-            if late:
-                yield pd.DataFrame([(sid, None, None, None, None, late, True)],
-                                   columns=["session_id", "user_id", "expires_at", "revoked_at", "last_used_at",
-                                            "refused_uses", "closed"])
+            if use.any():
+                yield _told(sid, (None, None, None, None, int(use.sum())), True)
             return
-        for r in rows.itertuples(index=False):
-            if r.kind == "LOGIN":
-                user, exp = int(r.user_id), r.at + ttl
-            elif exp is None:
-                continue
-            elif r.kind == "LOGOUT":
-                rev = r.at if rev is None or pd.isna(rev) else rev
-            elif r.kind == "USE":
-                if r.at < exp and (rev is None or pd.isna(rev)):
-                    last = r.at if last is None or pd.isna(last) else max(last, r.at)
-                else:
-                    refused += 1
-        if exp is None:
-            return
-        until = int(pd.Timestamp(exp).timestamp() * 1000)
-        closed = until <= state.getCurrentWatermarkMs()  # no timeout can be set in the watermark's past
-        if not closed:
-            state.update((user, exp, rev, last, refused))
-            state.setTimeoutTimestamp(until)
-        elif state.exists:
-            state.remove()
-        yield pd.DataFrame([(sid, user, exp, rev, last, refused, closed)],
-                           columns=["session_id", "user_id", "expires_at", "revoked_at", "last_used_at",
-                                    "refused_uses", "closed"])
-    return fn
+        until = (log["at"] + self.ttl).where(login).ffill().fillna(_time(expires))
+        log, login, use, until = (x[until.notna()] for x in (log, login, use, until))
+        logout = log["kind"] == "LOGOUT"
+        gone = (logout.cumsum() - logout > 0) | (revoked is not None)  # logged out before the row
+        good = use & (log["at"] < until) & ~gone
+        if login.any():
+            user = int(log["user_id"][login].iloc[-1])
+        if revoked is None and logout.any():
+            revoked = _micros(log["at"][logout].iloc[0])
+        if good.any():
+            used = max(_micros(log["at"][good].max()), used if used is not None else -(2 ** 62))
+        old, expires = expires, _micros(until.iloc[-1])
+        state = (user, expires, revoked, used, int(refused + (use & ~good).sum()))
+        closed = expires // 1000 <= timerValues.getCurrentWatermarkInMs()  # no timer can be set in the watermark's past
+        if old is not None and (closed or old != expires):
+            self.handle.deleteTimer(old // 1000)
+        if closed:
+            self.session.clear()
+        else:
+            self.session.update(state)
+            self.handle.registerTimer(expires // 1000)
+        yield _told(sid, state, closed)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        state = self.session.get()
+        if state is not None:
+            self.session.clear()
+            yield _told(int(key[0]), state, True)
+
+    def close(self) -> None:
+        pass
 
 
 def session_updates(event_stream: DataFrame, ttl_hours: int = 24, watermark: str = "1 hour") -> DataFrame:
@@ -123,45 +169,115 @@ def session_updates(event_stream: DataFrame, ttl_hours: int = 24, watermark: str
     a user, whose ``refused_uses`` add to the session's.
     """
     ev = event_stream.withColumn("_t", F.col("at").cast("timestamp")).withWatermark("_t", watermark)
-    return ev.groupBy("session_id").applyInPandasWithState(
-        _session_fn(ttl_hours), SESSION_SCHEMA, SESSION_STATE, "update", GroupStateTimeout.EventTimeTimeout)
+    return ev.groupBy("session_id").transformWithStateInPandas(_Sessions(ttl_hours), SESSION_SCHEMA, "Update", "EventTime")
 
 
-def _batch_dir(root: str, batch_id: int) -> str:
-    return f"{root.rstrip('/')}/batch={batch_id:012d}"
+CART_SCHEMA = "seq LONG, user_id LONG, kind STRING, product_id LONG, outcome STRING, step LONG, quantity INT"
 
 
-def _fs(spark: SparkSession, path: str):
-    """Hadoop FileSystem of ``path`` (works for local, HDFS and object stores)."""
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath
+class _Cart(StatefulProcessor):
+    """The cart of a user: quantity by product, and how many commands were applied."""
 
+    def init(self, handle) -> None:
+        self.lines = handle.getMapState("lines", "product_id LONG", "quantity INT")
+        self.steps = handle.getValueState("steps", "n LONG")
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    fs, jpath = _fs(spark, path)
-    return bool(fs.exists(jpath))
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        step = (self.steps.get() or (0,))[0]
+        held: dict[int, int] = {}  # lines that this batch has touched
+        cleared = False
+        for r in sorted(rows, key=lambda r: r.seq):
+            step += 1
+            if r.kind == "CLEAR":
+                held, cleared = {}, True
+                yield Row(seq=r.seq, user_id=key[0], kind=r.kind, product_id=None, outcome="CLEARED", step=step, quantity=None)
+                continue
+            p = r.product_id
+            if p not in held:
+                known = not cleared and p is not None and self.lines.containsKey((p,))
+                held[p] = self.lines.getValue((p,))[0] if known else 0
+            outcome, held[p] = self.applied(r, held[p])
+            yield Row(seq=r.seq, user_id=key[0], kind=r.kind, product_id=p, outcome=outcome, step=step, quantity=held[p])
+        if cleared:
+            self.lines.clear()
+        for p, q in held.items():
+            if q > 0:
+                self.lines.updateValue((p,), (q,))
+            elif not cleared and p is not None and self.lines.containsKey((p,)):
+                self.lines.removeKey((p,))
+        self.steps.update((step,))
+
+    @staticmethod
+    def applied(r: Row, q: int) -> tuple[str, int]:
+        """Outcome of a command on a line of quantity ``q``, and the quantity after it."""
+        if r.kind == "REMOVE":
+            return ("REMOVED" if q > 0 else "NOT_FOUND"), 0
+        if r.quantity is None or r.quantity <= 0:
+            return "INVALID_QUANTITY", q
+        if r.kind == "ADD":
+            if not r.user_active:
+                return "USER_INACTIVE", q
+            if not r.product_active:
+                return "PRODUCT_UNAVAILABLE", q
+            return ("INSUFFICIENT_STOCK", q) if q + r.quantity > r.stock else ("ADDED", q + r.quantity)
+        if r.stock is None or q == 0:
+            return "NOT_FOUND", q
+        return ("INSUFFICIENT_STOCK", q) if r.quantity > r.stock else ("UPDATED", r.quantity)
+
+    def close(self) -> None:
+        pass
+
+
+def cart_updates(command_stream: DataFrame, users: DataFrame, products: DataFrame) -> DataFrame:
+    """Streaming C3 over (seq, user_id, kind, product_id, quantity); append mode.
+
+    One row for each command: its outcome, ``step`` (the user's commands
+    so far) and the line's quantity after it.  ``users`` and ``products`` are
+    tables read anew by each micro-batch.  Only touched users take part in a batch.
+    """
+    u = users.select("user_id", F.col("is_active").alias("user_active"))
+    p = products.select("product_id", F.col("stock_qty").alias("stock"), F.col("is_active").alias("product_active"))
+    known = (command_stream.select("seq", "user_id", "kind", "product_id", "quantity").join(u, "user_id", "left").join(p, "product_id", "left"))
+    return known.groupBy("user_id").transformWithState(_Cart(), CART_SCHEMA, "Append", "None")
 
 
-def _commit(spark: SparkSession, target: str, batch_id: int) -> None:
-    """Mark a batch's outputs complete (written last, so its presence means all exist)."""
-    fs, jpath = _fs(spark, f"{target}/_COMMITTED")
-    out = fs.create(jpath, True)
-    out.write(bytearray(str(batch_id), "ascii"))
-    out.close()
+def cart_of(updates: DataFrame) -> DataFrame:
+    """user_id, product_id, quantity: the carts after the rows that ``cart_updates`` has given so far."""
+    last = updates.filter("kind <> 'CLEAR'").groupBy("user_id", "product_id").agg(F.max(F.struct("step", "quantity")).alias("l"))
+    clears = updates.filter("kind = 'CLEAR'").groupBy("user_id").agg(F.max("step").alias("cleared"))
+    return (last.join(clears, "user_id", "left").filter(F.col("l.step") > F.coalesce("cleared", F.lit(0)))
+            .filter("l.quantity > 0").select("user_id", "product_id", F.col("l.quantity").alias("quantity")))
 
 
-def _list(spark: SparkSession, root: str) -> list[str]:
-    if not _exists(spark, root):
-        return []
-    fs, jpath = _fs(spark, root)
-    return [st.getPath().getName() for st in fs.listStatus(jpath) if st.getPath().getName().startswith("batch=")]
+def start_cart_stream(command_stream: DataFrame, users: DataFrame, products: DataFrame, out: str, checkpoint: str, trigger: dict | None = None):
+    """J4 with Spark's parquet file sink at ``out``; ``cart_of`` of that table are the carts."""
+    w = cart_updates(command_stream, users, products).writeStream.format("parquet").outputMode("append")
+    return w.option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start(out)
 
 
-def _latest_snapshot(spark: SparkSession, root: str, name: str, initial: DataFrame) -> DataFrame:
-    done = sorted(d for d in _list(spark, root) if _exists(spark, f"{root}/{d}/_COMMITTED"))
-    if not done:
-        return initial
-    return spark.read.parquet(f"{root}/{done[-1]}/{name}")
+# ---------------------------------------------------------------- inventory
+#: A batch whose number is a multiple of this writes its whole state, the others the changed keys.
+WHOLE_EVERY = 20
+STATE = {"stock": ("product_id", "product_id LONG, stock LONG"),
+         "orders": ("order_id", "order_id LONG, user_id LONG, open BOOLEAN, lines ARRAY<STRUCT<product_id: LONG, quantity: INT>>")}
+
+
+def _latest(spark: SparkSession, root: str, name: str, first: int, end: int) -> DataFrame:
+    """The last row of every key among the state rows that the batches first .. end - 1 have written."""
+    key, schema = STATE[name]
+    parts = [spark.read.schema(schema).parquet(f"{root}/{name}/batch={b}").withColumn("batch", F.lit(b)) for b in range(first, end)]
+    if not parts:
+        return spark.createDataFrame([], schema)
+    rows = parts[0]
+    for p in parts[1:]:
+        rows = rows.unionByName(p)
+    names = [c for c in rows.columns if c not in (key, "batch")]
+    return rows.groupBy(key).agg(F.max_by(F.struct(*names), "batch").alias("s")).select(key, "s.*")
+
+
+def inventory_state(spark: SparkSession, out_root: str, name: str, batches: int) -> DataFrame:
+    """``stock`` (product_id, stock) or ``orders`` (order_id, user_id, open, lines) after the first ``batches`` batches."""
+    return _latest(spark, out_root.rstrip("/"), name, max(0, (batches - 1) // WHOLE_EVERY * WHOLE_EVERY), batches)
 
 
 def start_inventory_stream(command_stream: DataFrame, opening_stock: DataFrame, out_root: str,
@@ -170,86 +286,50 @@ def start_inventory_stream(command_stream: DataFrame, opening_stock: DataFrame,
 
     ``command_stream`` rows: seq, kind (ORDER/CANCEL/ADJUST), order_id,
     user_id, product_id, quantity (ORDER rows carry one line each), reason.
-    Writes decisions/, audit/, stock/ and placed/ (open orders, needed by
-    later cancels) under out_root/batch=N and a _COMMITTED marker; the
-    newest committed snapshot is the next batch's state.
-    ``out_root`` must be a shared folder on a cluster (local paths are for
-    tests).
+    Batch N overwrites the partition ``batch=N`` of decisions/, audit/, stock/
+    and orders/ under ``out_root`` (a shared folder on a cluster) and reads
+    only partitions before N, so a batch that Spark's checkpoint replays gives
+    the same files again.  stock/ and orders/ hold the keys that the batch has
+    changed, and all keys every ``WHOLE_EVERY`` batches.  Orders admitted in
+    earlier batches enter as decided: their stock stays taken whatever seq
+    comes later, a cancel of an open one puts it back, a second one finds it closed.
     """
-    spark0 = command_stream.sparkSession
-    no_placed = spark0.createDataFrame([], "order_id BIGINT, seq BIGINT, user_id BIGINT, product_id BIGINT, "
-                                           "quantity INT")
+    root = out_root.rstrip("/")
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        target = _batch_dir(out_root, batch_id)
-        if _exists(spark, f"{target}/_COMMITTED"):
-            return  # replayed batch: outputs already exist
-        stock0 = _latest_snapshot(spark, out_root, "stock", opening_stock)
-        placed = _latest_snapshot(spark, out_root, "placed", no_placed)
+        batch = cut_lineage(batch)
+        if batch_id:
+            stock0, orders0 = (inventory_state(spark, root, name, batch_id) for name in ("stock", "orders"))
+        else:
+            stock0, orders0 = opening_stock.select(F.col("product_id").cast("long"), F.col("stock").cast("long")), _latest(spark, root, "orders", 0, 0)
         o = batch.filter(F.col("kind") == "ORDER")
         orders = o.groupBy("order_id").agg(F.min("seq").alias("seq"), F.first("user_id").alias("user_id"))
         lines = o.select("order_id", "product_id", "quantity")
         cancels = batch.filter(F.col("kind") == "CANCEL").select("seq", "order_id", "user_id")
-        adjust = batch.filter(F.col("kind") == "ADJUST").select(
-            "seq", "product_id", F.col("quantity").alias("delta"), "reason")
-        # open orders of earlier batches that this batch cancels are replayed
-        # first as already admitted: their stock is added back, then retaken
-        carry = placed.join(cancels.select("order_id").distinct(), "order_id", "left_semi")
-        carry_orders = carry.groupBy("order_id").agg(F.min("seq").alias("seq"), F.first("user_id").alias("user_id"))
-        back = carry.groupBy("product_id").agg(F.sum("quantity").alias("_back"))
-        stock_adj = stock0.join(back, "product_id", "left").select(
-            "product_id", (F.col("stock") + F.coalesce("_back", F.lit(0))).alias("stock"))
-        decisions, moves, final = admit_commands(
-            stock_adj, orders.unionByName(carry_orders),
-            lines.unionByName(carry.select("order_id", "product_id", "quantity")), cancels, adjust)
-        carried = carry_orders.select("seq")
-        decisions = decisions.join(carried, "seq", "left_anti")
-        moves = moves.join(carried, "seq", "left_anti")
-        decisions.write.mode("overwrite").parquet(f"{target}/decisions")
-        inventory_audit(stock0, moves, order=("seq", "movement_id")).write.mode("overwrite").parquet(
-            f"{target}/audit")
-        final.write.mode("overwrite").parquet(f"{target}/stock")
-        dec = spark.read.parquet(f"{target}/decisions")
-        cancelled = dec.filter(F.col("outcome") == "CANCELLED").select(F.col("ref_id").alias("order_id"))
-        new_placed = (dec.filter(F.col("outcome") == "PLACED").select(F.col("ref_id").alias("order_id"), "seq",
-                                                                      "user_id")
-                      .join(lines, "order_id"))
-        (placed.join(cancelled, "order_id", "left_anti").unionByName(new_placed.select(*placed.columns))
-         .write.mode("overwrite").parquet(f"{target}/placed"))
-        _commit(spark, target, batch_id)
-
-    w = command_stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
-    return w.trigger(**(trigger or {"availableNow": True})).start()
-
-
-def start_cart_stream(command_stream: DataFrame, users: DataFrame, products: DataFrame, out_root: str,
-                      checkpoint: str, trigger: dict | None = None):
-    """Cart fold per micro-batch against the stored cart snapshot.
-
-    Writes outcomes/ and cart/ (user_id, product_id, quantity) per batch.
-    """
-    spark0 = command_stream.sparkSession
-    empty = spark0.createDataFrame([], "user_id BIGINT, product_id BIGINT, quantity INT")
-
-    def apply(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        target = _batch_dir(out_root, batch_id)
-        if _exists(spark, f"{target}/_COMMITTED"):
-            return
-        cart = _latest_snapshot(spark, out_root, "cart", empty)
-        items = cart.select(F.col("user_id").alias("cart_id"), "product_id", "quantity")
-        carts = cart.select(F.col("user_id").alias("cart_id"), "user_id").distinct()
-        outcomes, state = fold_cart(batch.select("seq", "user_id", "kind", "product_id", "quantity"),
-                                    users, products, items, carts)
-        # users untouched in this batch keep their cart
-        touched = batch.select("user_id", "product_id").distinct()
-        cleared = batch.filter(F.col("kind") == "CLEAR").select("user_id").distinct()
-        kept = (cart.join(touched, ["user_id", "product_id"], "left_anti")
-                .join(cleared, "user_id", "left_anti"))
-        outcomes.write.mode("overwrite").parquet(f"{target}/outcomes")
-        kept.unionByName(state).write.mode("overwrite").parquet(f"{target}/cart")
-        _commit(spark, target, batch_id)
+        adjust = batch.filter(F.col("kind") == "ADJUST").select("seq", "product_id", F.col("quantity").alias("delta"), "reason")
+        standing = cut_lineage(orders0.join(cancels.select("order_id").distinct(), "order_id", "left_semi"))
+        old_lines = standing.filter("open").select("order_id", F.inline("lines"))
+        decisions, moves, final = admit_commands(stock0, orders, lines.unionByName(old_lines), cancels, adjust, standing=standing.drop("lines"))
+        decisions, moves = cut_lineage(decisions), cut_lineage(moves)
+
+        def write(df: DataFrame, name: str) -> None:
+            df.write.mode("overwrite").parquet(f"{root}/{name}/batch={batch_id}")
+
+        write(decisions, "decisions")
+        write(inventory_audit(stock0, moves, order=("seq", "movement_id")), "audit")
+        closed = decisions.filter(F.col("outcome") == "CANCELLED").select(F.col("ref_id").alias("order_id"), "user_id")
+        held = lines.groupBy("order_id").agg(F.collect_list(F.struct("product_id", "quantity")).alias("lines"))
+        opened = (decisions.filter(F.col("outcome") == "PLACED").select(F.col("ref_id").alias("order_id"), "user_id")
+                  .join(closed, "order_id", "left_anti").join(held, "order_id").select("order_id", "user_id", F.lit(True).alias("open"), "lines"))
+        none = F.lit(None).cast(opened.schema["lines"].dataType)
+        changed = opened.unionByName(closed.select("order_id", "user_id", F.lit(False).alias("open"), none.alias("lines")))
+        if batch_id % WHOLE_EVERY:
+            final = final.join(moves.select("product_id").distinct(), "product_id", "left_semi")
+        else:
+            changed = orders0.join(changed, "order_id", "left_anti").unionByName(changed)
+        write(final, "stock")
+        write(changed, "orders")
 
     w = command_stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     return w.trigger(**(trigger or {"availableNow": True})).start()
