@@ -10,12 +10,14 @@ terms are probed for a vector only while its score and the bounds that are
 left still reach the k-th score.  Shards are merged at the end.
 
 Defined cases: vectors that are null or hold a null, NaN or infinite
-component take no part, nor does a row without id; components beyond
-+-2^27 count as that value (64-bit sums stay exact); where lengths differ
+component take no part, nor does a row without id; integer components and
+scores that 64 bits cannot hold count as the nearest they can, all sums are
+exact (in wider integers where 64 bits might not do); where lengths differ
 the missing components count as 0; equal scores go to the smaller id;
 repeated rows are candidates of their own, but a query meets no row of its
-own id, and of rows that share a query's id the least vector asks; an
-empty table gives an empty result; other columns are ignored.
+own id; rows that share a query's id all ask, and the id's result is the best
+of all their answers; an empty table gives an empty result; other columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-LIMIT = 2 ** 27
+LIMIT = 2 ** 63 - 1
 #: Candidates of one shard and queries of one block; a task holds one of each.
 SHARD_ROWS = 16_384
 BLOCK_QUERIES = 1_024
@@ -93,7 +95,7 @@ class Shard:
 
 
 def _matrix(column: pa.ChunkedArray, width: int) -> np.ndarray:
-    """Rows of equal width, short ones filled with zeros; float64 where its sums are exact, else int64."""
+    """Rows of equal width, short ones filled with zeros."""
     flat = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     out = np.zeros((len(flat), width), np.int64)
     lengths = np.diff(flat.offsets.to_numpy())
@@ -109,11 +111,12 @@ def search_block(candidates: pa.Table, queries: pa.Table, k: int) -> pa.Table:
     if candidates.num_rows and queries.num_rows:
         longest = [int(np.diff(t["vector"].combine_chunks().offsets.to_numpy()).max()) for t in (candidates, queries)]
         x, q = (_matrix(t["vector"], max(*longest, 1)) for t in (candidates, queries))
-        if float(np.abs(x).max()) * float(np.abs(q).max()) * x.shape[1] < 2 ** 52:
-            x, q = x.astype(np.float64), q.astype(np.float64)
+        most = int(np.abs(x).max()) * int(np.abs(q).max()) * x.shape[1]
+        kind = np.float64 if most < 2 ** 52 else np.int64 if most < 2 ** 60 else object  # sums of all of these are exact
+        x, q = x.astype(kind), q.astype(kind)
         shard = Shard(candidates["vec_id"].to_numpy(), x)
         for query_id, row in zip(queries["vec_id"].to_pylist(), q):
-            found += [(query_id, i, s) for i, s in shard.best(query_id, row, k)]
+            found += [(query_id, i, max(-LIMIT, min(LIMIT, s))) for i, s in shard.best(query_id, row, k)]
     cols = list(zip(*found)) or [(), (), ()]
     return pa.table([pa.array(c, pa.int64()) for c in cols], names=["query_id", "vec_id", "score"])
 
@@ -136,12 +139,12 @@ def top_k(df: DataFrame, is_query: Callable[[Column], Column], k: int = 5, vec_i
     holds one shard and one block whatever the table's size.
     """
     vectors = integer_vectors(df, vec_id, vector, scale)
-    asking = vectors.filter(is_query(F.col("vec_id"))).groupBy("vec_id").agg(F.min("vector").alias("vector"))
+    asking = vectors.filter(is_query(F.col("vec_id")))
     rows, asks = df.count(), df.filter(is_query(F.col(vec_id).cast("long"))).count()
     shards, blocks = max(1, -(-rows // SHARD_ROWS)), max(1, -(-asks // BLOCK_QUERIES))
-    dealt = vectors.withColumn("shard", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(shards)).cast("int"))
+    dealt = vectors.withColumn("shard", F.pmod(F.xxhash64("vec_id", "vector"), F.lit(shards)).cast("int"))
     dealt = dealt.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    asking = (asking.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int"))
+    asking = (asking.withColumn("block", F.pmod(F.xxhash64("vec_id", "vector"), F.lit(blocks)).cast("int"))
               .withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))))
 
     def search(candidates: pa.Table, queries: pa.Table) -> pa.Table:
