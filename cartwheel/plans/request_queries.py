@@ -186,23 +186,23 @@ register("delete_closure_users", SQL_SESSIONS + """
     UNION ALL SELECT 'carts', CAST(cart_id AS VARCHAR), 'DELETED' FROM shop_carts JOIN gone USING (user_id)
     UNION ALL SELECT 'user_sessions', CAST(session_id AS VARCHAR), 'DELETED' FROM sess JOIN gone USING (user_id)
     UNION ALL SELECT 'cart_items', CAST(cart_item_id AS VARCHAR), 'DELETED' FROM shop_cart_items i JOIN shop_carts c ON c.cart_id = i.cart_id
-              JOIN gone ON gone.user_id = c.user_id""")(_closure("users", F.col("user_id") % 3 != 1))
+              JOIN gone ON gone.user_id = c.user_id""")(_closure("users", "user_id % 3 <> 1"))
 
 register("delete_closure_carts", """
     SELECT 'carts' AS table_name, CAST(cart_id AS VARCHAR) AS key, 'DELETED' AS action FROM shop_carts WHERE cart_id % 2 = 0
     UNION ALL SELECT 'cart_items', CAST(cart_item_id AS VARCHAR), 'DELETED' FROM shop_cart_items
-              WHERE cart_id % 2 = 0 AND cart_id IN (SELECT cart_id FROM shop_carts)""")(_closure("carts", F.col("cart_id") % 2 == 0))
+              WHERE cart_id % 2 = 0 AND cart_id IN (SELECT cart_id FROM shop_carts)""")(_closure("carts", "cart_id % 2 = 0"))
 
 register("delete_closure_categories", SQL_TABLES + """
     SELECT 'categories' AS table_name, CAST(c.category_id AS VARCHAR) AS key,
            CASE WHEN EXISTS (SELECT 1 FROM all_products p WHERE p.category_id = c.category_id) THEN 'BLOCKED' ELSE 'DELETED' END AS action
-    FROM all_categories c""")(_closure("categories", F.lit(True)))
+    FROM all_categories c""")(_closure("categories", "true"))
 
 register("delete_closure_products", SQL_TABLES + """
     SELECT 'products' AS table_name, CAST(p.product_id AS VARCHAR) AS key,
            CASE WHEN p.product_id IN (SELECT product_id FROM shop_cart_items) OR p.product_id IN (SELECT product_id FROM shop_order_items)
                   OR p.product_id IN (SELECT product_id FROM restocks) THEN 'BLOCKED' ELSE 'DELETED' END AS action
-    FROM all_products p""")(_closure("products", F.lit(True)))
+    FROM all_products p""")(_closure("products", "true"))
 
 register("delete_closure_orders", SQL_TABLES + """
     , ids AS (SELECT order_id, order_id IN (SELECT related_order_id FROM restocks) AS held FROM shop_orders)
@@ -210,4 +210,4 @@ register("delete_closure_orders", SQL_TABLES + """
     UNION ALL SELECT 'order_items', CAST(order_item_id AS VARCHAR), 'DELETED' FROM shop_order_items JOIN ids USING (order_id) WHERE NOT held
     UNION ALL SELECT 'order_audit', CAST(l.order_id * 4 + s AS VARCHAR), 'DELETED'
               FROM shop_orders l JOIN ids USING (order_id), (VALUES (1), (2), (3)) AS steps(s)
-              WHERE NOT held AND (s < 3 OR l.order_status <> 'PLACED')""")(_closure("orders", F.lit(True)))
+              WHERE NOT held AND (s < 3 OR l.order_status <> 'PLACED')""")(_closure("orders", "true"))
