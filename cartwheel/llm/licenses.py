@@ -1,23 +1,29 @@
 """Licence scan: a trained paragraph classifier, confirmed against templates, in DataFrame functions only.
 
-A paragraph is what stands between two line breaks; the lines of a wrapped
-notice are told one by one.  A multinomial logistic regression on sparse word n-grams gives each
-paragraph a licence family or ``unknown``; its probabilities are calibrated
-by a temperature, and the least probability that counts is set on held-out
-paragraphs so that at most ``FALSE_ALARMS`` of the unknown ones pass.  A
-prediction is confirmed when the paragraph shares enough n-grams with one of
-the family's templates.
-
-The model is trained on the driver from the templates (cut, thinned and
-padded) and from a bounded sample of corpus paragraphs as the unknown class.
-Scoring reads every paragraph of every text: those without any word that
-carries weight are unknown by the model's bias; the others meet the weights
-in a join with a table as large as the templates' vocabulary.
+A paragraph is what stands between blank lines; lines that hold nothing but
+comment marks are blank, and the marks and line breaks inside a paragraph
+are no words, so wrapped and commented notices read as they were written.
+Every paragraph is read whole, in overlapping windows of ``WINDOW`` words that
+start every ``STEP`` words.  A multinomial logistic regression on sparse word
+n-grams gives each window a licence family or ``unknown``; its probabilities
+are calibrated by a temperature, and the least probability that counts is set
+on held-out windows so that at most ``FALSE_ALARMS`` of the unknown ones pass.
+A prediction is confirmed when the window shares enough n-grams with one of
+the family's templates.  A paragraph's result for a family is its best window.
+
+The model is trained on the driver from the templates (whole, thinned, and
+standing among words of the corpus, cut into windows as texts are) and from a
+bounded sample of corpus windows as the unknown class.  Scoring takes no join
+and no shuffle: an n-gram finds its weights by its hash in a constant table
+as large as the templates' vocabulary.  Windows without any word that carries
+weight are unknown by the model's bias.  Only windows that are told meet in a
+shuffle, by their text and paragraph.
 
 Defined cases: null and empty texts have no paragraphs; paragraphs of
 unknown family give no row; equal probabilities go to the first family in
-alphabetical order; repeated rows give repeated results; an empty table
-gives an empty result; other columns are ignored.
+alphabetical order and to the earlier window; repeated rows give repeated
+results; an empty table gives an empty result; other columns are ignored.
+Kept columns must be of a type that can be grouped.
 """
 
 from __future__ import annotations
@@ -27,6 +33,7 @@ import re
 from dataclasses import dataclass
 
 import numpy as np
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -117,6 +124,7 @@ TEMPLATES = {
     ],
     "Proprietary": [
         "Copyright. All rights reserved.",
+        "All rights reserved.",
         "This software is confidential and proprietary. Unauthorized copying, use or distribution of this file, via any medium, is strictly prohibited.",
     ],
 }
@@ -131,18 +139,23 @@ LOOKALIKES = [
 ]
 
 TOKEN = r"[a-z0-9]+(?:\.[0-9]+)*"
-BREAK = r"\r?\n"
+#: Between two paragraphs: a blank line, or lines of comment marks only.
+BREAK = r"\n[ \t\r\n#*/;%!<>-]*\n"
 UNKNOWN = "unknown"
-#: Corpus documents whose paragraphs teach the unknown class, and paragraphs taken of them, at most.
-SAMPLE_DOCUMENTS, SAMPLE_PARAGRAPHS = 300, 1_500
-#: Share of unknown held-out paragraphs that may pass the threshold.
+#: Words of a window, and from one window's start to the next.
+WINDOW, STEP = 32, 16
+#: Corpus documents whose windows teach the unknown class, and windows taken of them, at most.
+SAMPLE_DOCUMENTS, SAMPLE_WINDOWS = 300, 3_000
+#: Share of unknown held-out windows that may pass the threshold.
 FALSE_ALARMS = 0.005
-#: Share of the shorter side's n-grams that a confirming template has in common with the paragraph.
+#: Share of the shorter side's n-grams that a confirming template has in common with the window.
 CONFIRMING = 0.5
 #: N-grams in common with it, at least.
 CONFIRMING_GRAMS = 3
-#: A word in more than this share of the sampled unknown paragraphs carries no weight.
+#: A word in more than this share of the sampled unknown windows carries no weight.
 COMMON = 0.01
+#: Decimals of a probability.
+DIGITS = 9
 
 
 def tokens(text: str) -> list[str]:
@@ -158,6 +171,11 @@ def paragraphs(text: str) -> list[str]:
     return re.split(BREAK, text)
 
 
+def windows(words: list[str]) -> list[tuple[int, list[str]]]:
+    """First word's place and words of every window."""
+    return [(s, words[s:s + WINDOW]) for s in range(0, max(len(words) - STEP, 1), STEP)]
+
+
 @dataclass
 class Model:
     families: list[str]  # without unknown, which is the last class of the weights
@@ -175,33 +193,31 @@ class Model:
 
 
 def _variants(rng: np.random.Generator, text: str, background: list[str], n: int) -> list[list[str]]:
-    """The template's words, whole and cut, thinned or padded with words of the corpus."""
+    """Windows that hold the template's words: alone, thinned, and among words of the corpus."""
     words = tokens(text)
-    out = [words]
+    out = [w for _, w in windows(words)]
     for _ in range(n):
-        w = list(words)
-        if len(w) > 12 and rng.random() < 0.5:
-            size = rng.integers(max(8, len(w) // 2), len(w) + 1)
-            at = rng.integers(0, len(w) - size + 1)
-            w = w[at:at + size]
-        if len(w) > 8:
-            w = [x for x in w if rng.random() > 0.05]
-        if background:
-            pad = lambda: [background[i] for i in rng.integers(0, len(background), rng.integers(0, 1 + len(w) // 2))]
-            w = [*pad(), *w, *pad()]
-        out.append(w)
+        own = np.array([len(words) <= 8 or rng.random() > 0.05 for _ in words])
+        kept = [w for w, k in zip(words, own) if k]
+        before, after = ([background[i] for i in rng.integers(0, len(background), rng.integers(0, 2 * WINDOW))] if background else [] for _ in range(2))
+        stretch = [*before, *kept, *after]
+        for start, w in windows(stretch):
+            held = min(start + len(w), len(before) + len(kept)) - max(start, len(before))
+            if held >= min(len(kept), STEP):  # of any notice at least one window holds that much
+                out.append(w)
     return out
 
 
 def train(unknown: list[str], seed: int = 0) -> Model:
-    """Fitted on the templates' variants and on unknown paragraphs (those that hold a template are left out)."""
+    """Fitted on the templates' variants and on unknown windows (those that share n-grams as a confirmed notice does are left out)."""
     rng = np.random.default_rng(seed)
     families = sorted(TEMPLATES)
     grams_of = {f: [set(ngrams(tokens(t))) for t in TEMPLATES[f]] for f in families}
     every = [g for f in families for g in grams_of[f]]
     plain = [tokens(p) for p in dict.fromkeys(unknown)]
-    plain = [w for w in plain if w and max(len(g & set(ngrams(w))) / min(len(g), len(ngrams(w))) for g in every) < CONFIRMING]
-    background = [x for w in plain[:200] for x in w[:50]]
+    plain = [w for w in plain if w and not any(len(both) >= CONFIRMING_GRAMS and len(both) >= CONFIRMING * min(len(g), len(ngrams(w)))
+                                               for g in every for both in [g & set(ngrams(w))])]
+    background = [x for w in plain for x in w]
     share: dict[str, int] = {}
     for w in plain:
         for x in set(w):
@@ -267,20 +283,29 @@ def _regress(x: np.ndarray, y: np.ndarray, classes: int, steps: int = 150, rate:
     return w, b
 
 
+def _windows(texts: DataFrame, keep: list[str], text: str) -> DataFrame:
+    """Rows of ``keep``, paragraph, word (the window's first) and __w (its words)."""
+    cut = texts.select(*keep, F.posexplode(F.split(text, BREAK)).alias("paragraph", "__p"))
+    words = cut.select(*keep, "paragraph", F.regexp_extract_all(F.lower("__p"), F.lit(TOKEN), F.lit(0)).alias("__a")).filter(F.size("__a") > 0)
+    starts = F.sequence(F.lit(0), F.greatest(F.size("__a") - STEP - 1, F.lit(0)), F.lit(STEP))
+    each = F.transform(starts, lambda s: F.struct(s.alias("word"), F.slice("__a", s + 1, WINDOW).alias("w")))
+    return words.select(*keep, "paragraph", F.explode(each).alias("__x")).select(*keep, "paragraph", "__x.word", F.col("__x.w").alias("__w"))
+
+
 def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", seed: int = 0) -> Model:
-    """Model with unknown paragraphs from at most ``SAMPLE_DOCUMENTS`` documents, drawn by a hash of the id."""
+    """Model with unknown windows from at most ``SAMPLE_DOCUMENTS`` whole documents, drawn by a hash of id and text."""
     known = docs.select(F.col(doc_id).alias("i"), F.col(text).alias("t")).filter("t is not null")
     # about twice the sample by a hash, so that few texts meet where it is cut to size
     share = min(1.0, 2 * SAMPLE_DOCUMENTS / max(1, docs.count()))
     drawn = (known.withColumn("h", F.pmod(F.xxhash64("i", "t"), F.lit(2 ** 31))).filter(F.col("h") <= int(2 ** 31 * share))
              .orderBy("h", "i").limit(SAMPLE_DOCUMENTS))
-    cut = drawn.select(F.explode(F.slice(F.split("t", BREAK), 1, 40)).alias("p")).filter("p <> ''").orderBy(F.xxhash64("p"), "p").limit(SAMPLE_PARAGRAPHS)
+    cut = _windows(drawn, [], "t").select(F.concat_ws(" ", "__w").alias("p")).orderBy(F.xxhash64("p"), "p").limit(SAMPLE_WINDOWS)
     return train([r["p"] for r in cut.collect()], seed)
 
 
-def _table(spark, rows: list[dict], schema: str) -> DataFrame:
-    """A small constant table, made of a literal."""
-    return spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps(rows)), f"array<struct<{schema}>>")))
+def _constant(value, kind: str) -> Column:
+    """A constant of a nested type; Spark's optimizer folds it to a literal."""
+    return F.from_json(F.lit(json.dumps({"v": value})), f"v {kind}")["v"]
 
 
 def _ngrams(words: Column) -> Column:
@@ -289,46 +314,66 @@ def _ngrams(words: Column) -> Column:
     return F.array_distinct(F.concat(words, pairs))
 
 
+def _slots(vocabulary: dict[str, int]) -> tuple[list[int], list[int], int]:
+    """Hashes by n-gram number, n-gram numbers by slot (-1: none), and the shift that tells a hash's slot: no two share one."""
+    hashes = {i: xxhash.xxh64_intdigest(g.encode(), seed=42) for g, i in vocabulary.items()}  # as xxhash64 of Spark
+    size = 1
+    while True:
+        for shift in range(0, 64 - size.bit_length(), 3):
+            slots = {h >> shift & size - 1: i for i, h in hashes.items()}
+            if len(slots) == len(hashes):
+                return [(hashes[i] ^ 1 << 63) - (1 << 63) for i in range(len(hashes))], [slots.get(k, -1) for k in range(size)], shift
+        size *= 2
+
+
 def scan(docs: DataFrame, model: Model, keep: list[str] | None = None, text: str = "text") -> DataFrame:
-    """One row for each paragraph with a licence family.
+    """One row for each paragraph and licence family told in it, by its best window.
 
-    ``keep`` columns (default doc_id), paragraph (from 0), family,
-    probability, template (its place in the family's list), share (of
-    n-grams in common with it) and confirmed.
+    ``keep`` columns (default doc_id), paragraph (from 0), family, word (the
+    first of the window, from 0), probability, template (its place in the
+    family's list), share (of n-grams in common with it) and confirmed.
     """
     keep = keep or ["doc_id"]
-    outputs = ["paragraph", "family", "probability", "template", "share", "confirmed"]
+    outputs = ["paragraph", "family", "word", "probability", "template", "share", "confirmed"]
     if set(keep) & set(outputs):
         raise ValueError("the outputs' names are among the kept columns")
-    spark = docs.sparkSession
     classes = len(model.families) + 1
-    weights = _table(spark, [{"g": g, "w": model.weights[i].tolist()} for g, i in model.vocabulary.items()], "g:string,w:array<double>")
-    templates = _table(spark, [{"f": k, "t": t, "g": g, "n": len(ngrams(tokens(x)))} for k, f in enumerate(model.families)
-                               for t, x in enumerate(TEMPLATES[f]) for g in ngrams(tokens(x))], "f:int,t:int,g:string,n:int")
-    cut = docs.select(*[F.col(c).alias(f"__k{i}") for i, c in enumerate(keep)], F.posexplode(F.split(text, BREAK)).alias("paragraph", "__p"))
-    words = F.regexp_extract_all(F.lower("__p"), F.lit(TOKEN), F.lit(0))
-    some = cut.withColumn("__w", words).filter(F.arrays_overlap("__w", F.array(*[F.lit(w) for w in model.words])))
-    # a row's own number: equal rows stay apart in the sums below
-    grams = some.withColumn("__r", F.monotonically_increasing_id()).withColumn("__g", _ngrams(F.col("__w")))
     kept = [f"__k{i}" for i in range(len(keep))]
-    each = grams.select("__r", *kept, "paragraph", F.size("__g").alias("__n"), F.explode("__g").alias("g"))
-    # both tables hold what the templates hold and nothing of the corpus
-    scored = each.join(F.broadcast(weights), "g").groupBy("__r").agg(
-        *[F.first(c).alias(c) for c in (*kept, "paragraph", "__n")], *[F.sum(F.col("w")[k]).alias(f"__z{k}") for k in range(classes)])
-    logits = F.array(*[F.lit(float(model.bias[k])) + F.col(f"__z{k}") / F.sqrt(F.col("__n")) for k in range(classes)])
-    scored = scored.withColumn("__z", logits).withColumn("__m", F.array_max("__z"))
-    scored = scored.withColumn("__e", F.transform("__z", lambda z: F.exp(z - F.col("__m"))))
+    # a text is known by two hashes, so that rows that share the kept columns stay apart
+    source = docs.select(*[F.col(c).alias(k) for c, k in zip(keep, kept)], F.col(text).alias("__t")).withColumn("__h", F.xxhash64("__t")) \
+        .withColumn("__i", F.xxhash64(F.lit(1), "__t"))
+    key = [*kept, "__h", "__i", "paragraph"]
+    cut = _windows(source, [*kept, "__h", "__i"], "__t")
+    some = cut.filter(F.arrays_overlap("__w", F.split(F.lit(" ".join(model.words)), " "))).select(*key, "word", _ngrams(F.col("__w")).alias("__g"))
+    hashes, slots, shift = _slots(model.vocabulary)
+    mask, hashes, slots = len(slots) - 1, _constant(hashes, "array<bigint>"), _constant(slots, "array<int>")
+    weights = _constant([w.tolist() for w in model.weights], "array<array<double>>")
+    number = lambda h: F.get(slots, F.shiftrightunsigned(h, shift).bitwiseAND(mask).cast("int"))
+    known = F.filter(F.transform("__g", lambda g: F.xxhash64(g)), lambda h: F.get(hashes, number(h)) == h)
+    some = some.withColumn("__v", F.transform(known, number)).filter(F.size("__v") > 0)
+    nothing = F.array(*[F.lit(0.0)] * classes)
+    sums = F.aggregate("__v", nothing, lambda a, v: F.zip_with(a, F.get(weights, v), lambda x, y: x + y))
+    bias = F.array(*[F.lit(float(b)) for b in model.bias])
+    scored = some.withColumn("__z", F.zip_with(bias, sums, lambda b, x: b + x / F.sqrt(F.size("__g"))))
+    scored = scored.withColumn("__e", F.transform("__z", lambda z: F.exp(z - F.array_max("__z"))))
     total = F.aggregate("__e", F.lit(0.0), lambda a, b: a + b)
-    scored = scored.withColumn("__best", F.array_max(F.slice("__e", 1, classes - 1)))
-    scored = scored.withColumn("probability", F.col("__best") / total).withColumn("__f", (F.array_position("__e", F.col("__best")) - 1).cast("int"))
-    told = scored.filter(F.col("probability") >= model.threshold).select("__r", *kept, "paragraph", "__n", "__f", "probability")
-    shared = (each.select("__r", "g").join(F.broadcast(templates), "g").groupBy("__r", "f", "t", "n").agg(F.count(F.lit(1)).alias("both")))
-    compared = told.join(shared.withColumnRenamed("f", "__f"), ["__r", "__f"], "left")
-    fit_of = F.col("both") / F.least("n", "__n")
-    best = compared.groupBy("__r").agg(*[F.first(c).alias(c) for c in (*kept, "paragraph", "__f", "probability")],
-                                       F.max(F.struct(fit_of.alias("share"), (-F.col("t")).alias("t"), "both")).alias("__b"))
-    names = F.array(*[F.lit(f) for f in model.families])
-    share = F.coalesce(F.col("__b.share"), F.lit(0.0))
-    return best.select(*[F.col(k).alias(c) for k, c in zip(kept, keep)], "paragraph", names[F.col("__f")].alias("family"), "probability",
-                       F.when(share > 0, -F.col("__b.t")).cast("int").alias("template"), share.alias("share"),
-                       ((share >= CONFIRMING) & (F.coalesce(F.col("__b.both"), F.lit(0)) >= CONFIRMING_GRAMS)).alias("confirmed"))
+    highest = F.array_max(F.slice("__e", 1, classes - 1))
+    scored = scored.withColumn("probability", F.round(highest / total, DIGITS)).withColumn("__f", (F.array_position("__e", highest) - 1).cast("int"))
+    told = scored.filter(F.col("probability") >= model.threshold).select(*key, "word", "__g", "__f", "probability")
+    templates = _constant([[{"t": -t, "g": ngrams(tokens(x))} for t, x in enumerate(TEMPLATES[f])] for f in model.families],
+                          "array<array<struct<t:int,g:array<string>>>>")
+    both = lambda t: F.size(F.array_intersect("__g", t["g"]))
+    shares = F.transform(F.get(templates, F.col("__f")), lambda t: F.struct(
+        (both(t) / F.least(F.size(t["g"]), F.size("__g"))).alias("share"), t["t"].alias("t"), both(t).alias("both")))
+    told = told.withColumn("__b", F.array_max(shares))
+    confirmed = (F.col("__b.share") >= CONFIRMING) & (F.col("__b.both") >= CONFIRMING_GRAMS)
+    told = told.select(*key, "word", "__f", F.struct(confirmed.alias("confirmed"), "probability", (-F.col("word")).alias("before"),
+                                                     F.col("__b.share").alias("share"), F.col("__b.t").alias("t")).alias("__b"))
+    # rows that repeat have equal windows: the best one counts them
+    best = (told.groupBy(*key, "__f", "word").agg(F.max("__b").alias("__b"), F.count(F.lit(1)).alias("__n"))
+            .groupBy(*key, "__f").agg(F.max(F.struct("__b", "__n")).alias("__m"))
+            .select("*", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__m.__n")))))
+    names, found = F.array(*[F.lit(f) for f in model.families]), F.col("__m.__b")
+    return best.select(*[F.col(k).alias(c) for k, c in zip(kept, keep)], "paragraph", names[F.col("__f")].alias("family"),
+                       (-found["before"]).alias("word"), found["probability"].alias("probability"),
+                       F.when(found["share"] > 0, -found["t"]).alias("template"), found["share"].alias("share"), found["confirmed"].alias("confirmed"))

@@ -143,7 +143,7 @@ def op2_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every paragraph with a licence notice: doc_id, paragraph, family, probability, template, share, confirmed."""
+    """Every licence family told in a paragraph: doc_id, paragraph, family, word, probability, template, share, confirmed."""
     docs = table(spark, sf_dir, "documents")
     return licenses.scan(docs, licenses.fit(docs))
 

@@ -1,6 +1,7 @@
 """Licence families, look-alikes, and the column form against the plain form."""
 
 import math
+import textwrap
 
 import pytest
 
@@ -18,19 +19,55 @@ def brute(model, rows):
     out = []
     for i, text in rows:
         for k, p in enumerate(lc.paragraphs(text) if text is not None else []):
-            g = lc.ngrams(lc.tokens(p))
-            pr = model.probabilities(g)[:-1]
-            if not set(lc.tokens(p)) & set(model.words) or pr.max() < model.threshold:
-                continue
-            family = model.families[int(pr.argmax())]
-            shares = [(len(set(g) & set(t)) / min(len(g), len(t)), -j, len(set(g) & set(t))) for j, t in enumerate(lc.ngrams(lc.tokens(x)) for x in lc.TEMPLATES[family])]
-            share, j, both = max(shares)
-            out.append((i, k, family, round(float(pr.max()), 9), -j if share else None, round(share, 9), share >= lc.CONFIRMING and both >= lc.CONFIRMING_GRAMS))
+            best = {}
+            for at, w in lc.windows(lc.tokens(p)):
+                g = lc.ngrams(w)
+                pr = model.probabilities(g)[:-1]
+                if not set(w) & set(model.words) or round(pr.max(), lc.DIGITS) < model.threshold:
+                    continue
+                family = model.families[int(pr.argmax())]
+                shares = [(len(set(g) & set(t)) / min(len(g), len(t)), -j, len(set(g) & set(t))) for j, t in enumerate(lc.ngrams(lc.tokens(x)) for x in lc.TEMPLATES[family])]
+                share, j, both = max(shares)
+                found = (share >= lc.CONFIRMING and both >= lc.CONFIRMING_GRAMS, round(float(pr.max()), lc.DIGITS), -at, share, j)
+                best[family] = max(best.get(family, found), found)
+            for family, (confirmed, pr, at, share, j) in best.items():
+                out.append((i, k, family, -at, round(pr, 6), -j if share else None, round(share, 9), confirmed))
     return sorted(out, key=repr)
 
 
 def rows_of(df):
-    return sorted(((r.doc_id, r.paragraph, r.family, round(r.probability, 9), r.template, round(r.share, 9), r.confirmed) for r in df.collect()), key=repr)
+    return sorted(((r.doc_id, r.paragraph, r.family, r.word, round(r.probability, 6), r.template, round(r.share, 9), r.confirmed) for r in df.collect()), key=repr)
+
+
+def embedded(spark, words):
+    """Every template among corpus words, plain and wrapped at 60 columns behind comment marks: (text, family)."""
+    pool = [t for r in spark.read.parquet(f"{SF01}/documents.parquet").orderBy("doc_id").select("text").limit(40).collect() for t in r.text.split()]
+    pool = [w for w in pool if not any(x in w.lower() for x in ("licen", "copyright", "rights"))]
+    out = []
+    for k, f in enumerate(lc.TEMPLATES):
+        for j, t in enumerate(lc.TEMPLATES[f]):
+            at = 37 * (7 * k + j) % 3000
+            text = " ".join([*pool[at:at + words], t, *pool[at + words:at + 2 * words]])
+            out += [(text, f), ("\n".join("# " + line for line in textwrap.wrap(text, 60)), f)]
+    return out
+
+
+@pytest.mark.parametrize("words", [0, 50, 200, 1000])
+def test_embedded_and_wrapped_notices_are_told(spark, model, words):
+    cases = embedded(spark, words)
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "doc_id long, text string")
+    told = {(r.doc_id, r.family) for r in lc.scan(df, model).collect() if r.confirmed}
+    missed = [f for i, (_, f) in enumerate(cases) if (i, f) not in told]
+    assert len(missed) <= 0.05 * len(cases), missed
+
+
+def test_paragraphs_and_late_notices(spark, model):
+    notice = lc.TEMPLATES["MIT"][1]
+    text = "\n".join(f"line {i} of the tale" for i in range(500)) + "\n#\n# " + notice.replace(" to ", " to\n# ") + "\n \r\n" + lc.TEMPLATES["ISC"][1]
+    assert len(lc.paragraphs(text)) == 3 and len(lc.paragraphs("a" + "\n" * 50_000 + "b")) == 2
+    df = spark.createDataFrame([(1, text), (2, "a" + "\n" * 50_000 + "Released under the MIT License.")], "doc_id long, text string")
+    got = {(r.doc_id, r.paragraph, r.family) for r in lc.scan(df, model).collect() if r.confirmed}
+    assert got == {(1, 1, "MIT"), (1, 2, "ISC"), (2, 1, "MIT")}
 
 
 def test_templates_are_told_and_lookalikes_are_not(model):
@@ -74,7 +111,7 @@ def test_query_finds_every_notice(spark):
                "Licensed under the Apache License, Version 2.0.": "Apache-2.0", "Released under the MIT License.": "MIT",
                "All rights reserved.": "Proprietary"}
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF01}/documents.parquet").collect()]
-    want = {(i, k, f) for i, t in docs for k, p in enumerate(lc.paragraphs(t)) for n, f in notices.items() if n in p}
+    want = {(i, 0, f) for i, t in docs for n, f in notices.items() if n in t}
     rows = op5_licenses(spark, SF01).collect()
     assert {(r.doc_id, r.paragraph, r.family) for r in rows if r.confirmed} == want
     assert all(math.isfinite(r.probability) for r in rows) and len(rows) <= len(want) * 1.1
