@@ -303,15 +303,21 @@ def _lexicon(counts: np.ndarray, totals: np.ndarray) -> Lexicon:
 
 def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic",
         sample_rows: int = SAMPLE_ROWS) -> Model:
-    """Lexicon, trees and calibration from at most ``sample_rows`` labelled documents, drawn by a hash of the id."""
+    """Lexicon, trees and calibration from at most ``sample_rows`` labelled texts, drawn by a hash of id and text.
+
+    A text that repeats under one id teaches once.  Of the units that two
+    toxic texts share, the ``20 * LEXICON_ENTRIES`` in most texts are weighed
+    for the lexicon.
+    """
     bounded_batches(docs.sparkSession)
-    taught = (labels.filter(F.col(doc_id).isNotNull() & F.col(label).isin(0, 1)).groupBy(F.col(doc_id).alias("__id"))
-              .agg(F.max(label).cast("int").alias("__y"))
-              .join(docs.select(F.col(doc_id).alias("__id")), "__id", "left_semi")  # labels of absent documents take no place in the sample
-              .orderBy(F.xxhash64("__id"), "__id").limit(sample_rows))
+    labelled = (labels.filter(F.col(doc_id).isNotNull() & F.col(label).isin(0, 1)).groupBy(F.col(doc_id).alias("__id"))
+                .agg(F.max(label).cast("int").alias("__y")))
+    texts = docs.select(F.col(doc_id).alias("__id"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("__h", F.xxhash64("__id", "text"))
+    # hashes meet the labels, not texts; labels of absent documents take no place in the sample
+    taught = texts.select("__id", "__h").distinct().join(labelled, "__id").orderBy("__h", "__id").limit(sample_rows)
     # at most sample_rows rows, so the broadcast is bounded
-    rows = (docs.select(F.col(doc_id).alias("__id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-            .join(F.broadcast(taught), "__id").withColumn("half", F.pmod(F.xxhash64("__id", F.lit(1)), F.lit(2)).cast("int")))
+    rows = (texts.join(F.broadcast(taught), ["__id", "__h"]).groupBy("__id", "__h", "__y").agg(F.min("text").alias("text"))
+            .withColumn("half", F.pmod(F.xxhash64("__id", F.lit(1)), F.lit(2)).cast("int")))
     rows = cut_lineage(rows)
 
     def toxic_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -58,6 +58,20 @@ def test_labels_of_absent_documents_take_no_place_in_the_sample(spark):
     assert toxicity.fit(docs, labels, sample_rows=4).trees is not None
 
 
+def test_rows_of_one_labelled_id_stay_within_the_sample(spark, monkeypatch):
+    """Many texts under one labelled id, and many equal rows, fit no more than the stated number of rows."""
+    docs = spark.createDataFrame([(i, f"some words {i}") for i in range(50)], "doc_id long, text string")
+    docs = docs.union(spark.range(4000).selectExpr("7L", "concat('other words ', id % 2000)")).union(spark.range(3000).selectExpr("8L", "'equal rows'"))
+    labels = spark.createDataFrame([(i, i % 2) for i in range(50)], "doc_id long, toxic int")
+    seen, fit = [], toxicity.Trees.fit
+    monkeypatch.setattr(toxicity.Trees, "fit", lambda self, x, y: seen.append(len(y)) or fit(self, x, y))
+    model = toxicity.fit(docs, labels, sample_rows=50)
+    assert model.trees is None or max(seen) <= 50
+    seen.clear()
+    model = toxicity.fit(docs.filter("doc_id <> 7"), labels, sample_rows=100)
+    assert max(seen) == 50  # 48 texts, two of id 8
+
+
 @pytest.mark.parametrize("copied", [0, 1])
 def test_a_third_of_copies_changes_no_lexicon(spark, copied):
     rng = np.random.default_rng(3)
