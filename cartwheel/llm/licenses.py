@@ -14,8 +14,7 @@ the family's templates.  A paragraph's result for a family is its best window.
 The model is trained on the driver from the templates (whole, thinned, and
 standing among words of the corpus, cut into windows as texts are) and from a
 bounded sample of corpus windows as the unknown class.  Scoring takes no join
-and no shuffle: an n-gram finds its weights by its hash in a constant table
-as large as the templates' vocabulary.  Windows without any word that carries
+and no shuffle: n-grams meet the templates' vocabulary, a constant.  Windows without any word that carries
 weight are unknown by the model's bias.  Only windows that are told meet in a
 shuffle, by their text and paragraph.
 
@@ -33,7 +32,6 @@ import re
 from dataclasses import dataclass
 
 import numpy as np
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -283,13 +281,25 @@ def _regress(x: np.ndarray, y: np.ndarray, classes: int, steps: int = 150, rate:
     return w, b
 
 
-def _windows(texts: DataFrame, keep: list[str], text: str) -> DataFrame:
-    """Rows of ``keep``, paragraph, word (the window's first) and __w (its words)."""
+def _once(value: Column) -> Column:
+    """The value itself; filters on it stay above, so that it is not computed again in them, nor for rows that earlier filters drop."""
+    return F.explode(F.array(value))
+
+
+def _windows(texts: DataFrame, keep: list[str], text: str, words_of: list[str] | None = None) -> DataFrame:
+    """Rows of ``keep``, paragraph, word (the window's first) and __w (its words); with ``words_of`` only windows that hold one of those."""
+    def some(words: str) -> Column:
+        return F.lit(True) if words_of is None else F.arrays_overlap(words, F.split(F.lit(" ".join(words_of)), " "))
+
     cut = texts.select(*keep, F.posexplode(F.split(text, BREAK)).alias("paragraph", "__p"))
-    words = cut.select(*keep, "paragraph", F.regexp_extract_all(F.lower("__p"), F.lit(TOKEN), F.lit(0)).alias("__a")).filter(F.size("__a") > 0)
-    starts = F.sequence(F.lit(0), F.greatest(F.size("__a") - STEP - 1, F.lit(0)), F.lit(STEP))
-    each = F.transform(starts, lambda s: F.struct(s.alias("word"), F.slice("__a", s + 1, WINDOW).alias("w")))
-    return words.select(*keep, "paragraph", F.explode(each).alias("__x")).select(*keep, "paragraph", "__x.word", F.col("__x.w").alias("__w"))
+    words = cut.select(*keep, "paragraph", _once(F.regexp_extract_all(F.lower("__p"), F.lit(TOKEN), F.lit(0))).alias("__a")).filter(some("__a"))
+    n = F.size("__a")
+    # words are fetched one by one: a slice copies the whole array first, which is square in the length of a text
+    cut_at = lambda s: F.transform(F.sequence(s, F.least(s + WINDOW, n) - 1), lambda i: F.get("__a", i))
+    one = F.array(F.struct(F.lit(0).alias("word"), F.col("__a").alias("w")))
+    each = F.when(n <= WINDOW, one).otherwise(F.transform(F.sequence(F.lit(0), n - STEP - 1, F.lit(STEP)), lambda s: F.struct(s.alias("word"), cut_at(s).alias("w"))))
+    return (words.select(*keep, "paragraph", F.explode(each).alias("__x")).select(*keep, "paragraph", "__x.word", F.col("__x.w").alias("__w"))
+            .filter(F.size("__w") > 0).filter(some("__w")))
 
 
 def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", seed: int = 0) -> Model:
@@ -314,18 +324,6 @@ def _ngrams(words: Column) -> Column:
     return F.array_distinct(F.concat(words, pairs))
 
 
-def _slots(vocabulary: dict[str, int]) -> tuple[list[int], list[int], int]:
-    """Hashes by n-gram number, n-gram numbers by slot (-1: none), and the shift that tells a hash's slot: no two share one."""
-    hashes = {i: xxhash.xxh64_intdigest(g.encode(), seed=42) for g, i in vocabulary.items()}  # as xxhash64 of Spark
-    size = 1
-    while True:
-        for shift in range(0, 64 - size.bit_length(), 3):
-            slots = {h >> shift & size - 1: i for i, h in hashes.items()}
-            if len(slots) == len(hashes):
-                return [(hashes[i] ^ 1 << 63) - (1 << 63) for i in range(len(hashes))], [slots.get(k, -1) for k in range(size)], shift
-        size *= 2
-
-
 def scan(docs: DataFrame, model: Model, keep: list[str] | None = None, text: str = "text") -> DataFrame:
     """One row for each paragraph and licence family told in it, by its best window.
 
@@ -343,14 +341,11 @@ def scan(docs: DataFrame, model: Model, keep: list[str] | None = None, text: str
     source = docs.select(*[F.col(c).alias(k) for c, k in zip(keep, kept)], F.col(text).alias("__t")).withColumn("__h", F.xxhash64("__t")) \
         .withColumn("__i", F.xxhash64(F.lit(1), "__t"))
     key = [*kept, "__h", "__i", "paragraph"]
-    cut = _windows(source, [*kept, "__h", "__i"], "__t")
-    some = cut.filter(F.arrays_overlap("__w", F.split(F.lit(" ".join(model.words)), " "))).select(*key, "word", _ngrams(F.col("__w")).alias("__g"))
-    hashes, slots, shift = _slots(model.vocabulary)
-    mask, hashes, slots = len(slots) - 1, _constant(hashes, "array<bigint>"), _constant(slots, "array<int>")
+    some = _windows(source, [*kept, "__h", "__i"], "__t", model.words).select(*key, "word", _once(_ngrams(F.col("__w"))).alias("__g"))
     weights = _constant([w.tolist() for w in model.weights], "array<array<double>>")
-    number = lambda h: F.get(slots, F.shiftrightunsigned(h, shift).bitwiseAND(mask).cast("int"))
-    known = F.filter(F.transform("__g", lambda g: F.xxhash64(g)), lambda h: F.get(hashes, number(h)) == h)
-    some = some.withColumn("__v", F.transform(known, number)).filter(F.size("__v") > 0)
+    vocabulary = _constant(list(model.vocabulary), "array<string>")  # in the order of the weights
+    known = F.transform(F.array_intersect("__g", vocabulary), lambda g: (F.array_position(vocabulary, g) - 1).cast("int"))
+    some = some.withColumn("__v", known).filter(F.size("__v") > 0)
     nothing = F.array(*[F.lit(0.0)] * classes)
     sums = F.aggregate("__v", nothing, lambda a, v: F.zip_with(a, F.get(weights, v), lambda x, y: x + y))
     bias = F.array(*[F.lit(float(b)) for b in model.bias])
