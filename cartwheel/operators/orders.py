@@ -73,9 +73,9 @@ def order_history(orders: DataFrame, order_items: DataFrame, products: DataFrame
 
 
 def items_digest(items_col: str = "items") -> F.Column:
-    """Flat text form of the items array: ``id:qty`` in item-id order."""
-    return F.array_join(F.transform(F.col(items_col), lambda x: F.concat_ws(
-        ":", x["order_item_id"].cast("string"), x["quantity"].cast("string"))), ",")
+    """Flat text form of the items array, ``id:product:name:quantity:price:total`` in item-id order."""
+    fields = ("order_item_id", "product_id", "product_name", "quantity", "unit_price", "line_total")
+    return F.array_join(F.transform(F.col(items_col), lambda x: F.concat_ws(":", *[x[f].cast("string") for f in fields])), ",")
 
 
 def order_detail(orders: DataFrame, order_items: DataFrame, products: DataFrame, requests) -> DataFrame:
