@@ -39,4 +39,4 @@ def all_oracles() -> dict[str, str]:
 
 
 def _load() -> None:
-    from . import queries, request_queries  # noqa: F401  (register on import)
+    from . import quality_queries, queries, request_queries  # noqa: F401  (register on import)
