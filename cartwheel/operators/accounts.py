@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import token_hash
-from ..plans.strategy import running_total
 
 # Default session lifetime in hours.
 SESSION_TTL_HOURS = 24
@@ -33,9 +32,11 @@ def ingest_users(batch: DataFrame, users: DataFrame):
               .when(F.locate("@", F.col("email")) <= 1, "email must have a local part"))
     stored = users.select(F.lower("email").alias("email"), F.lit(True).alias("_taken"))
     b = b.withColumn("_static", static).join(stored, "email", "left")
-    b = b.withColumn("_cand", F.when(F.col("_static").isNull() & F.col("_taken").isNull(), F.lit(1)))
-    b = running_total(b, ["email"], ["seq"], "_cand", "_earlier", inclusive=False, agg="max")
-    reason = F.coalesce(F.col("_static"), F.when(F.col("_taken").isNotNull() | (F.col("_earlier") == 1),
+    # the first candidate of an email takes it: a partial minimum, joined back
+    first = (b.filter(F.col("_static").isNull() & F.col("_taken").isNull())
+             .groupBy("email").agg(F.min("seq").alias("_taken_at")))
+    b = b.join(first, "email", "left")
+    reason = F.coalesce(F.col("_static"), F.when(F.col("_taken").isNotNull() | (F.col("_taken_at") < F.col("seq")),
                                                    F.lit("Email already registered.")))
     b = b.withColumn("reject_reason", reason)
     ok = b.filter(F.col("reject_reason").isNull())

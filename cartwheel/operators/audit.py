@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..plans.strategy import running_total
@@ -28,16 +28,46 @@ def inventory_audit(stock0: DataFrame, movements: DataFrame, order: tuple[str, .
         F.col("at").alias("changed_at"))
 
 
+def present_stock(stock0: DataFrame, movements: DataFrame) -> DataFrame:
+    """(product_id, stock) after all movements; one partial sum per product."""
+    net = movements.groupBy("product_id").agg(F.sum("delta").alias("_net"))
+    return stock0.join(net, "product_id", "left").select(
+        "product_id", (F.col("stock") + F.coalesce("_net", F.lit(0))).alias("stock"))
+
+
+def newest_inventory_audit(present: DataFrame, movements: DataFrame, n: int,
+                           order: tuple[str, ...] = ("at", "movement_id"), id_col: str = "movement_id") -> DataFrame:
+    """The newest ``n`` rows of F1, found from the end.
+
+    The newest n movements of stored products are a top-n; the stock after
+    each is the ``present`` stock (product_id, stock after all movements)
+    less the deltas that follow, all of which are among these n rows.  No
+    window runs over the history.
+    """
+    newest_first = [F.col(c).desc() for c in order]
+    mv = movements.filter(F.col("delta") != 0).join(present.select("product_id"), "product_id", "left_semi")
+    newest = mv.orderBy(*newest_first).limit(n)
+    later = Window.partitionBy("product_id").orderBy(*newest_first).rowsBetween(Window.unboundedPreceding, -1)
+    newest = newest.withColumn("_later", F.coalesce(F.sum("delta").over(later), F.lit(0)))
+    j = newest.join(present, "product_id")
+    new = (F.col("stock") - F.col("_later")).cast("int")
+    return j.select(
+        F.col(id_col).alias("audit_id"), "product_id",
+        (new - F.col("delta")).cast("int").alias("old_stock"), new.alias("new_stock"),
+        F.col("delta").cast("int").alias("change_qty"), "reason", "related_order_id",
+        F.col("at").alias("changed_at"))
+
+
 def order_status_audit(status_log: DataFrame) -> DataFrame:
     """status history rows: the first write of an order (old NULL,
     ORDER_CREATED) and later writes that change the status
     (ORDER_STATUS_UPDATED).  Writes keeping the status leave no row.
 
-    The previous write is a per-order running max of (seq, status) over
-    earlier rows, so no order is ever ranked inside a single task.
+    One window over an order's writes, which are few: a status leaves PLACED
+    once, so no order holds a share of the log that grows with it.
     """
-    log = status_log.withColumn("_w", F.struct("seq", "order_status"))
-    log = running_total(log, ["order_id"], ["seq"], "_w", "_prev", inclusive=False, agg="max")
+    by_order = Window.partitionBy("order_id").orderBy("seq")
+    log = status_log.withColumn("_prev", F.lag(F.struct("order_status")).over(by_order))
     prev = F.col("_prev.order_status")
     first = F.col("_prev").isNull()
     keep = first | ~prev.eqNullSafe(F.col("order_status"))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import classify_expr, rating_expr, stars_expr, stock_badge, strip_ws
-from ..plans.strategy import running_total, top_k_per_group
+from ..plans.strategy import top_k_per_group
 from ..schemas import MONEY
 
 # Whitelisted sorts of the product search (unknown -> name_asc).
@@ -190,12 +190,12 @@ def ingest_products(batch: DataFrame, products: DataFrame, categories: DataFrame
               .when(F.col("product_name") == "", "Product name is required."))
     b = b.withColumn("_static", static)
     candidate = F.col("_static").isNull() & F.col("_sku_taken").isNull() & F.col("_cat_ok").isNotNull()
-    b = b.withColumn("_cand", F.when(candidate, F.lit(1)))
-    # the first candidate of a SKU takes it (per-SKU running max, hot SKUs split)
-    b = running_total(b, ["sku"], ["seq"], "_cand", "_earlier_ok", inclusive=False, agg="max")
+    # the first candidate of a SKU takes it: a partial minimum, joined back
+    first = b.filter(candidate).groupBy("sku").agg(F.min("seq").alias("_taken_at"))
+    b = b.join(first, "sku", "left")
     # a unique violation is raised before the foreign-key check
     reason = (F.when(F.col("_static").isNotNull(), F.col("_static"))
-              .when(F.col("_sku_taken").isNotNull() | (F.col("_earlier_ok") == 1), "SKU already exists.")
+              .when(F.col("_sku_taken").isNotNull() | (F.col("_taken_at") < F.col("seq")), "SKU already exists.")
               .when(F.col("_cat_ok").isNull(), "Invalid category selected."))
     b = b.withColumn("reject_reason", reason)
     accepted = b.filter(F.col("reject_reason").isNull()).select(

@@ -3,8 +3,8 @@
 ``check_constraints`` returns one DataFrame (table_name, rule, key, detail).
 Row-level rules of a table (NOT NULL, CHECK, VARCHAR(n)) are evaluated in
 one scan per table: every row yields an array of violation structs that is
-exploded; key rules are one aggregate per key, foreign keys one anti-join
-per edge (NULL references pass, as in SQL).
+exploded; the keys of all tables are one aggregate, all foreign keys one
+join (NULL references pass, as in SQL).
 """
 
 from __future__ import annotations
@@ -90,22 +90,81 @@ def row_violations(table: str, df: DataFrame) -> DataFrame:
 
 
 def key_violations(table: str, df: DataFrame, keys: list[str], rule: str) -> DataFrame:
-    """H2: key values held by more than one row (NULLs never collide)."""
-    g = df.filter(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
-    dup = g.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
-    return dup.select(F.lit(table).alias("table_name"), F.lit(rule).alias("rule"), _key_text(keys).alias("key"),
-                      F.concat(F.lit(",".join(keys) + " rows="), F.col("_n").cast("string")).alias("detail"))
+    """H2 for one key: values held by more than one row (NULLs never collide)."""
+    return repeated_keys([(table, df, keys, rule)])
 
 
-def fk_violations(child_name: str, child: DataFrame, col: str, parent_name: str, parent: DataFrame,
-                  parent_col: str) -> DataFrame:
-    """H3: references to a missing parent row."""
-    refs = child.filter(F.col(col).isNotNull()).select(
-        _key_text(PRIMARY_KEYS[child_name]).alias("key"), F.col(col).alias("_ref"))
-    miss = refs.join(parent.select(F.col(parent_col).alias("_ref")), "_ref", "left_anti")
-    return miss.select(F.lit(child_name).alias("table_name"), F.lit("FOREIGN_KEY").alias("rule"), "key",
-                       F.concat(F.lit(f"{col}="), F.col("_ref").cast("string"),
-                                F.lit(f" not in {parent_name}")).alias("detail"))
+def _named(number: Column, names: list[str]) -> Column:
+    """The name a running number stands for."""
+    return F.element_at(F.array(*[F.lit(n) for n in names]), number + 1)
+
+
+def repeated_keys(rules: list[tuple[str, DataFrame, list[str], str]]) -> DataFrame:
+    """H2 for many keys (table, rows, key columns, rule name) in one aggregate.
+
+    Rules over the same DataFrame share one read of it.  What is shuffled is
+    the rule's number and the key: whole numbers as they are, other keys as text.
+    """
+    frames, by_frame = [], {}
+    for number, (_, df, keys, _) in enumerate(rules):
+        by_frame.setdefault(id(df), (df, []))[1].append((number, keys))
+    for df, own in by_frame.values():
+        types = dict(df.dtypes)
+        structs = []
+        for number, keys in own:
+            whole = len(keys) <= 2 and all(types[k] in ("bigint", "int") for k in keys)
+            complete = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+            none, longs = F.lit(None).cast("bigint"), [F.col(k).cast("bigint") for k in keys]
+            structs.append(F.when(complete, F.struct(
+                F.lit(number).alias("number"), (longs[0] if whole else none).alias("a"),
+                (longs[1] if whole and len(keys) == 2 else none).alias("b"),
+                (F.lit(None).cast("string") if whole else F.concat_ws(",", *[F.col(k).cast("string") for k in keys])).alias("text"),
+                # tells ('x,y', 'z') from ('x', 'y,z')
+                (F.lit(None).cast("string") if whole or len(keys) == 1 else F.concat_ws(
+                    ",", *[F.length(F.col(k).cast("string")).cast("string") for k in keys])).alias("cuts"))))
+        frames.append(df.select(F.explode(F.array(*structs)).alias("k")).filter(F.col("k").isNotNull()).select("k.*"))
+    dup = _union(frames).groupBy("number", "a", "b", "text", "cuts").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
+    number = F.col("number")
+    return dup.select(
+        _named(number, [t for t, _, _, _ in rules]).alias("table_name"), _named(number, [r for _, _, _, r in rules]).alias("rule"),
+        F.coalesce("text", F.concat_ws(",", F.col("a").cast("string"), F.col("b").cast("string"))).alias("key"),
+        F.concat(_named(number, [",".join(k) + " rows=" for _, _, k, _ in rules]), F.col("_n").cast("string")).alias("detail"))
+
+
+def reference_violations(tables: dict[str, DataFrame]) -> DataFrame | None:
+    """H3: references to a missing parent row, all foreign keys in one join.
+
+    Each child table is read once for all its references, each parent once
+    for its key; a reference of a table that is not given, or to one, is
+    not judged.
+    """
+    edges = [(c, col, p) for c, col, p, _ in FOREIGN_KEYS if c in tables and p in tables and col in tables[c].columns]
+    if not edges:
+        return None
+    parents = sorted({p for _, _, p in edges})
+    refs = []
+    for child in dict.fromkeys(c for c, _, _ in edges):
+        structs = [F.when(F.col(col).isNotNull(), F.struct(
+            F.lit(i).alias("edge"), F.lit(parents.index(p)).alias("parent"), F.col(col).cast("bigint").alias("ref")))
+            for i, (c, col, p) in enumerate(edges) if c == child]
+        held = tables[child].select(F.col(PRIMARY_KEYS[child][0]).alias("key"), F.explode(F.array(*structs)).alias("r"))
+        refs.append(held.filter(F.col("r").isNotNull()).select("key", "r.*"))
+    stored = [tables[p].select(F.lit(i).alias("parent"), F.col(PRIMARY_KEYS[p][0]).cast("bigint").alias("ref"))
+              for i, p in enumerate(parents)]
+    # a left join whose partner is missing: an anti-join would be pushed below
+    # the union and read the parents once for every child
+    found = _union(stored).withColumn("_found", F.lit(True))
+    told = _union(refs).join(found, ["parent", "ref"], "left").filter(F.col("_found").isNull())
+    edge = F.col("edge")
+    return told.select(
+        _named(edge, [c for c, _, _ in edges]).alias("table_name"), F.lit("FOREIGN_KEY").alias("rule"),
+        F.coalesce(F.col("key").cast("string"), F.lit("NULL")).alias("key"),
+        F.concat(_named(edge, [col + "=" for _, col, _ in edges]), F.col("ref").cast("string"),
+                 _named(edge, [f" not in {p}" for _, _, p in edges])).alias("detail"))
+
+
+def _union(frames: list[DataFrame]) -> DataFrame:
+    return reduce(lambda a, b: a.unionByName(b), frames)
 
 
 def order_total_mismatches(orders: DataFrame, order_items: DataFrame) -> DataFrame:
@@ -136,25 +195,24 @@ def stock_mismatches(current: DataFrame, opening: DataFrame, audit: DataFrame) -
 
 
 def check_constraints(tables: dict[str, DataFrame]) -> DataFrame:
-    """H1-H5 (+ H7 when orders and order_items are given) over ``tables``."""
-    parts = []
-    for name, df in tables.items():
-        if name not in PRIMARY_KEYS:
-            continue
-        rv = row_violations(name, df)
-        if rv is not None:
-            parts.append(rv)
-        # one partial aggregate per key: measured faster at sf0.1 than one
-        # GROUPING SETS aggregate, whose Expand multiplies the shuffled rows
-        parts.append(key_violations(name, df, PRIMARY_KEYS[name], "PRIMARY_KEY"))
-        for keys in UNIQUE_KEYS.get(name, []):
-            parts.append(key_violations(name, df, keys, "UNIQUE"))
-    for child, col, parent, pcol in FOREIGN_KEYS:
-        if child in tables and parent in tables and col in tables[child].columns:
-            parts.append(fk_violations(child, tables[child], col, parent, tables[parent], pcol))
+    """H1-H5 (+ H7 when orders and order_items are given) over ``tables``.
+
+    Each table is read once for its row rules, once for all its keys and
+    once for all its references; the keys of all tables meet in one
+    aggregate, the references in one join.
+    """
+    known = {name: df for name, df in tables.items() if name in PRIMARY_KEYS}
+    parts = [rv for rv in (row_violations(name, df) for name, df in known.items()) if rv is not None]
+    keys = [(name, df, k, rule) for name, df in known.items()
+            for k, rule in [(PRIMARY_KEYS[name], "PRIMARY_KEY")] + [(u, "UNIQUE") for u in UNIQUE_KEYS.get(name, [])]]
+    if keys:
+        parts.append(repeated_keys(keys))
+    refs = reference_violations(known)
+    if refs is not None:
+        parts.append(refs)
     if "orders" in tables and "order_items" in tables:
         parts.append(order_total_mismatches(tables["orders"], tables["order_items"]))
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    return _union(parts)
 
 
 def constraint_sql(tables: dict[str, str]) -> str:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,6 +36,14 @@ def hot_keys(df: DataFrame, key: list[str], order_col: str, chunk_rows: int | No
             .select(*key, F.ceil(F.col("__rt_n") / limit).alias("__rt_m"), "__rt_lo", "__rt_hi"))
 
 
+def _join_small(df: DataFrame, small: DataFrame, key: list[str]) -> DataFrame:
+    """Left join with a small table by ``key``; NULLs are equal."""
+    named = small.select(*[F.col(k).alias(f"__rt_key{i}") for i, k in enumerate(key)],
+                         *[c for c in small.columns if c not in key])
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__rt_key{i}")) for i, k in enumerate(key)])
+    return df.join(F.broadcast(named), same, "left").drop(*[f"__rt_key{i}" for i in range(len(key))])
+
+
 def running_total(df: DataFrame, key: list[str], order: list[str], value, out,
                   inclusive: bool = True, agg: str = "sum", chunk_rows: int | None = None,
                   hot: DataFrame | None = None) -> DataFrame:
@@ -49,6 +59,8 @@ def running_total(df: DataFrame, key: list[str], order: list[str], value, out,
     2. a hot key's rows are cut into ceil(n / chunk_rows) chunks by ranges
        of the first order column (monotone in the order, deterministic);
        other keys are a single chunk;
+       NULL keys form one key and are split too, and NULL order values
+       stand first, as in a plain window;
     3. the window runs per (key, chunk), i.e. on at most ~chunk_rows rows;
     4. per-chunk totals of hot keys (a few rows per hot key) are
        prefix-combined and broadcast back as offsets.
@@ -64,10 +76,9 @@ def running_total(df: DataFrame, key: list[str], order: list[str], value, out,
     first = _order_number(df, order[0])
     if hot is None:
         hot = hot_keys(df, key, order[0], chunk_rows)
-    chunk = F.when(F.col("__rt_m").isNull(), F.lit(0)).otherwise(F.least(
-        F.col("__rt_m") - 1, F.floor((first - F.col("__rt_lo")) * F.col("__rt_m") / (F.col("__rt_hi") - F.col("__rt_lo") + 1))
-    )).cast("long")
-    c = df.join(F.broadcast(hot), key, "left").withColumn("__rt_chunk", chunk).withColumn("__rt_hot", F.col("__rt_m").isNotNull())
+    part = F.floor((first - F.col("__rt_lo")) * F.col("__rt_m") / (F.col("__rt_hi") - F.col("__rt_lo") + 1))
+    chunk = F.when(F.col("__rt_m").isNull() | part.isNull(), F.lit(0)).otherwise(F.least(F.col("__rt_m") - 1, part)).cast("long")
+    c = _join_small(df, hot, key).withColumn("__rt_chunk", chunk).withColumn("__rt_hot", F.col("__rt_m").isNotNull())
     c = c.drop("__rt_m", "__rt_lo", "__rt_hi")
     end = 0 if inclusive else -1
     w = Window.partitionBy(*key, "__rt_chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, end)
@@ -77,7 +88,7 @@ def running_total(df: DataFrame, key: list[str], order: list[str], value, out,
     prev = Window.partitionBy(*key).orderBy("__rt_chunk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = slices.select(*key, "__rt_chunk", *[fn(f"__rt_slice{i}").over(prev).alias(f"__rt_offset{i}")
                                               for i in range(len(values))])
-    joined = local.join(F.broadcast(offsets), key + ["__rt_chunk"], "left")
+    joined = _join_small(local, offsets, key + ["__rt_chunk"])
     for i, o in enumerate(outs):
         lo, off = F.col(f"__rt_local{i}"), F.col(f"__rt_offset{i}")
         both = off + lo if agg == "sum" else F.greatest(off, lo)
