@@ -13,8 +13,11 @@ Builder = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, tuple[Builder, str | None]] = {}
 
 
-def register(name: str, sql: str | None = None):
-    """Register ``fn(views) -> DataFrame`` under ``name`` with its oracle."""
+def register(name: str, sql: str | None = None, whole_sql: bool = False):
+    """Register ``fn(views) -> DataFrame`` under ``name`` with its oracle.
+
+    ``whole_sql`` says that the oracle defines the shop views itself.
+    """
     def deco(fn: Callable[[ShopViews], DataFrame]):
         if name in REGISTRY:
             raise ValueError(f"duplicate query {name}")
@@ -23,7 +26,7 @@ def register(name: str, sql: str | None = None):
             return fn(ShopViews(spark, sf_dir))
         build.__name__ = name
         build.__doc__ = fn.__doc__
-        REGISTRY[name] = (build, with_views(sql) if sql else None)
+        REGISTRY[name] = (build, with_views(sql) if sql and not whole_sql else sql)
         return fn
     return deco
 
@@ -39,4 +42,4 @@ def all_oracles() -> dict[str, str]:
 
 
 def _load() -> None:
-    from . import quality_queries, queries, request_queries  # noqa: F401  (register on import)
+    from . import quality_queries, queries, request_queries, stored_queries  # noqa: F401  (register on import)
