@@ -44,6 +44,15 @@ def _join_small(df: DataFrame, small: DataFrame, key: list[str]) -> DataFrame:
     return df.join(F.broadcast(named), same, "left").drop(*[f"__rt_key{i}" for i in range(len(key))])
 
 
+def in_chunks(df: DataFrame, key: list[str], order_col: str, hot: DataFrame) -> DataFrame:
+    """``df`` with ``__rt_hot`` and ``__rt_chunk``: the rows of a ``hot_keys`` key cut by ranges of ``order_col``, other keys in one chunk."""
+    first = _order_number(df, order_col)
+    part = F.floor((first - F.col("__rt_lo")) * F.col("__rt_m") / (F.col("__rt_hi") - F.col("__rt_lo") + 1))
+    chunk = F.when(F.col("__rt_m").isNull() | part.isNull(), F.lit(0)).otherwise(F.least(F.col("__rt_m") - 1, part)).cast("long")
+    c = _join_small(df, hot, key).withColumn("__rt_chunk", chunk).withColumn("__rt_hot", F.col("__rt_m").isNotNull())
+    return c.drop("__rt_m", "__rt_lo", "__rt_hi")
+
+
 def running_total(df: DataFrame, key: list[str], order: list[str], value, out,
                   inclusive: bool = True, agg: str = "sum", chunk_rows: int | None = None,
                   hot: DataFrame | None = None) -> DataFrame:
@@ -73,13 +82,9 @@ def running_total(df: DataFrame, key: list[str], order: list[str], value, out,
     values = [value] if isinstance(value, str) else list(value)
     outs = [out] if isinstance(out, str) else list(out)
     fn = {"sum": F.sum, "max": F.max}[agg]
-    first = _order_number(df, order[0])
     if hot is None:
         hot = hot_keys(df, key, order[0], chunk_rows)
-    part = F.floor((first - F.col("__rt_lo")) * F.col("__rt_m") / (F.col("__rt_hi") - F.col("__rt_lo") + 1))
-    chunk = F.when(F.col("__rt_m").isNull() | part.isNull(), F.lit(0)).otherwise(F.least(F.col("__rt_m") - 1, part)).cast("long")
-    c = _join_small(df, hot, key).withColumn("__rt_chunk", chunk).withColumn("__rt_hot", F.col("__rt_m").isNotNull())
-    c = c.drop("__rt_m", "__rt_lo", "__rt_hi")
+    c = in_chunks(df, key, order[0], hot)
     end = 0 if inclusive else -1
     w = Window.partitionBy(*key, "__rt_chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, end)
     local = c.select("*", *[fn(v).over(w).alias(f"__rt_local{i}") for i, v in enumerate(values)])

@@ -96,3 +96,28 @@ def test_movements_feed_inventory_audit(spark):
             assert a.new_stock == b.old_stock
         assert rows[-1].new_stock == stock[p]
         assert all(r.new_stock >= 0 for r in rows)
+
+
+def test_a_chain_of_close_calls_on_one_product_takes_one_round(spark):
+    """Each order's answer hangs on the one before; one scan follows the whole chain."""
+    rng = random.Random(5)
+    orders = [(10 * i, 100 + i, 1) for i in range(1, 41)]
+    lines = {oid: {1: rng.randint(2, 9)} for _, oid, _ in orders}
+    log = ({1: 100}, orders, lines, [], [(10 * i + 5, 1, rng.choice([-4, 3, 5])) for i in range(1, 41)])
+    want, want_stock = replay_admission(*log)
+    got, stock, _, rounds, _ = run(spark, *log)
+    assert got == want and stock == want_stock
+    assert {"PLACED", "INSUFFICIENT_STOCK"} <= set(got.values())
+    assert rounds == 1
+
+
+def test_repeated_and_missing_seqs_end(spark):
+    """Commands that share a seq are decided together, those without one last; each leaves one decision."""
+    s0 = spark.createDataFrame([(1, 10), (2, 3)], "product_id BIGINT, stock BIGINT")
+    o = spark.createDataFrame([(1, 100, 1), (1, 100, 1), (None, 101, 1), (None, 102, 1), (3, 103, 1)], "seq BIGINT, order_id BIGINT, user_id BIGINT")
+    ln = spark.createDataFrame([(100, 1, 4), (101, 1, 2), (102, 2, 3), (103, 2, 1), (103, 1, 1)], "order_id BIGINT, product_id BIGINT, quantity INT")
+    dec, mv, final = admit_commands(s0, o, ln)
+    assert sorted((r.ref_id, r.outcome) for r in dec.collect()) == [
+        (100, "PLACED"), (100, "PLACED"), (101, "INSUFFICIENT_STOCK"), (102, "INSUFFICIENT_STOCK"), (103, "PLACED")]
+    assert sum(r.delta for r in mv.collect()) == -10
+    assert {r.product_id: r.stock for r in final.collect()} == {1: 1, 2: 2}
