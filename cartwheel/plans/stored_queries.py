@@ -21,8 +21,10 @@ def stored_orders(v):
     """(orders, order_items) of the views, written and read back."""
     prefix = f"stored_{uuid.uuid4().hex}"
     root = f"{ensure_checkpoint_dir(v.spark).rstrip('/')}/cartwheel-stored/{prefix}"
+    tables = {"orders": v.orders, "order_items": v.order_items}
+    # read after the views have sized the shuffles
     buckets = int(v.spark.conf.get("spark.sql.shuffle.partitions"))
-    store_tables({"orders": v.orders, "order_items": v.order_items}, root, prefix, buckets)
+    store_tables(tables, root, prefix, buckets)
     return stored_table(v.spark, "orders", prefix), stored_table(v.spark, "order_items", prefix)
 
 

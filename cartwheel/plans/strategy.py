@@ -1,7 +1,8 @@
-"""Physical-strategy helpers: checked broadcasts and skew-safe prefix scans."""
+"""Physical-strategy helpers: checked broadcasts, sized shuffles and skew-safe prefix scans."""
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -11,6 +12,31 @@ from pyspark.sql import functions as F
 ROWS_PER_CHUNK = 1_000_000
 
 
+# Order lines one task of a shuffle should hold, and the shuffled bytes up to
+# which adaptive execution may join small partitions where there are many lines.
+ROWS_PER_TASK = 500_000
+TASK_BYTES = 8 << 20
+
+
+def size_shuffles(spark, rows: int) -> int:
+    """Sizes the session's shuffles for ``rows`` rows, so that a task's memory does not grow with the input.
+
+    A fixed number of partitions gives each task a fixed share of the input,
+    and so does adaptive execution, which by default joins partitions until
+    there are about as many as cores.  Input that needs no more tasks than
+    there are cores changes nothing; settings that are finer already stay.
+    Returns the number of tasks ``rows`` need.
+    """
+    tasks = -(-rows // ROWS_PER_TASK)
+    if tasks > spark.sparkContext.defaultParallelism:
+        if int(spark.conf.get("spark.sql.shuffle.partitions")) < tasks:
+            spark.conf.set("spark.sql.shuffle.partitions", str(tasks))
+        number, unit = re.match(r"\s*(\d+)\s*([a-z]?)", spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes").lower()).groups()
+        if int(number) << {"k": 10, "m": 20, "g": 30, "t": 40}.get(unit, 0) > TASK_BYTES:
+            spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(TASK_BYTES))
+    return tasks
+
+
 def rows_per_chunk(spark) -> int:
     return int(spark.conf.get("cartwheel.skew.rowsPerChunk", str(ROWS_PER_CHUNK)))
 

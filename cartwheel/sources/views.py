@@ -106,6 +106,9 @@ class ShopViews:
 
     @cached_property
     def order_items(self) -> DataFrame:
+        from ..plans.strategy import size_shuffles
+        # a task's share of the lines stays the same however many there are (the count reads footers only)
+        size_shuffles(self.spark, self.raw("lineitem").count())
         # dealt by order: the sums and the places within an order share one shuffle
         lines = (self.raw("lineitem").select("l_orderkey", "l_partkey", "l_quantity").repartition("l_orderkey")
                  .groupBy("l_orderkey", "l_partkey")

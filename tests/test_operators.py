@@ -164,3 +164,37 @@ def test_search_takes_a_backslash_as_an_escape(spark):
     c = spark.createDataFrame([(1, "c")], "category_id BIGINT, category_name STRING")
     ids = lambda s: sorted(r.product_id for r in search_products(p, c, search=s).collect())
     assert ids("a\\ b") == [1] and ids("50\\%") == [2] and ids("50%") == [2, 3]
+
+
+def test_many_order_lines_are_dealt_to_more_tasks(spark, monkeypatch):
+    """A task's share of the lines stays the same however many there are; few lines change no setting."""
+    from cartwheel.plans import strategy
+    from cartwheel.sources import ShopViews
+    from tests.conftest import SF001
+    names = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.enabled")
+    was = {n: spark.conf.get(n) for n in names}
+    few = ShopViews(spark, SF001).order_items
+    assert {n: spark.conf.get(n) for n in names} == was
+    want = {r.order_item_id: r.asDict() for r in few.collect()}
+    monkeypatch.setattr(strategy, "ROWS_PER_TASK", 250)
+    monkeypatch.setattr(strategy, "TASK_BYTES", 4096)
+    spark.conf.set(names[2], "false")  # the lines of the smallest tables are below the least size of a partition
+    try:
+        v = ShopViews(spark, SF001)
+        lines = v.raw("lineitem").count()
+        items = v.order_items
+        assert int(spark.conf.get(names[0])) == -(-lines // 250) > 4
+        assert int(spark.conf.get(names[1])) == 4096
+        rows = items.withColumn("_task", F.spark_partition_id()).collect()
+        share = {}
+        for r in rows:
+            share[r._task] = share.get(r._task, 0) + 1
+        assert max(share.values()) < 4 * 250
+        assert {r.order_item_id: {k: x for k, x in r.asDict().items() if k != "_task"} for r in rows} == want
+        # finer settings stay
+        spark.conf.set(names[0], "5000")
+        ShopViews(spark, SF001).order_items
+        assert spark.conf.get(names[0]) == "5000"
+    finally:
+        for n, x in was.items():
+            spark.conf.set(n, x)
